@@ -316,8 +316,7 @@ def forward_fill(t):
 
 @query
 def cohort_p95(t):
-    filled = normalize.forward_fill(metrics.cumulative_metrics(_project_months(t)))
-    return normalize.cohort_p95(filled)
+    return normalize.cohort_p95(normalize.forward_fill(_run(t).cumulative))
 
 
 @query
@@ -395,6 +394,10 @@ def _info(t):
     return repositories.consolidate(t["f_repository_info"], [F.col("doc_id")])
 
 
+def _consolidated(t):
+    return cut_lineage(_info(t), "consolidated")
+
+
 @query
 def consolidated_info(t):
     return _info(t)
@@ -412,7 +415,7 @@ def project_recency(t):
 
 def _metric_files(t):
     """Cumulative metrics as found in last year's and this year's result file."""
-    cumulative = metrics.cumulative_metrics(_project_months(t))
+    cumulative = cut_lineage(metrics.cumulative_metrics(_project_months(t)), "cumulative")
     older = cumulative.withColumn("watchers", F.col("watchers") - 1).withColumn("file_year", F.lit(2000))
     return cumulative.withColumn("file_year", F.lit(2001)).unionByName(older)
 
@@ -631,19 +634,19 @@ def recency_frequency(t):
 # ---------------------------------------------------------------- graphs
 @query
 def name_mentions(t):
-    info = _info(t)
+    info = _consolidated(t)
     return mentions.name_mentions(info, mentions.mention_keys(info))
 
 
 @query
 def mention_counts(t):
-    info = _info(t)
+    info = _consolidated(t)
     return mentions.mention_counts(info, mentions.name_mentions(info, mentions.mention_keys(info)))
 
 
 @query
 def mention_graph(t):
-    return mentions.sorted_graph(mentions.mention_graph(_info(t)))
+    return mentions.sorted_graph(mentions.mention_graph(_consolidated(t)))
 
 
 @query

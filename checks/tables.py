@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from repopulse.sources import files
+
 VIEWS = {
     "f_repo": """
 SELECT 'own' || CAST(s_suppkey % 20 AS STRING) AS repository_owner,
@@ -120,7 +122,7 @@ class Tables:
     @functools.cache
     def __getitem__(self, name: str) -> DataFrame:
         if name not in VIEWS:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return files.spread_small_input(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         text = VIEWS[name]
         inputs = {ref: self[ref] for ref in references(text)}
         template = _REF.sub(r"{\1}", text.replace("{", "{{").replace("}", "}}"))

@@ -18,8 +18,13 @@ HASH_BUCKETS = 200_000
 
 
 def tokens(docs: DataFrame, split: Column, stop_words: Iterable[str] = ENGLISH) -> DataFrame:
-    """One row per kept token of each document; ``split`` is the array of raw tokens."""
-    return docs.select(*DOC, F.explode(split).alias("term")).filter(
+    """One row per kept token of each document; ``split`` is the array of raw tokens.
+
+    Documents are spread by id first: the term counts of a document then need no further shuffle,
+    and few large input files do not limit the parallelism of the text work. ``explode_outer``
+    keeps Spark from evaluating the clean-up again in an inferred not-empty filter.
+    """
+    return docs.repartition("doc_id").select(*DOC, F.explode_outer(split).alias("term")).filter(
         tx.kept_word(F.col("term"), list(stop_words)))
 
 

@@ -26,7 +26,9 @@ def run_metrics(timeline: DataFrame, repo: DataFrame, base_year: int = 2014, yea
 
 
 def derive(monthly: DataFrame, bands: list[AgeBand] | None = None) -> MetricsRun:
-    cumulative = metrics.cumulative_metrics(metrics.project_month_metrics(monthly, bands))
+    """Cumulative metrics are a result of their own and feed two later steps, so they are written."""
+    cumulative = cut_lineage(
+        metrics.cumulative_metrics(metrics.project_month_metrics(monthly, bands)), "cumulative")
     normalized = normalize.normalized_metrics(cumulative)
     return MetricsRun(monthly, cumulative, normalized, features.feature_vectors(normalized))
 
