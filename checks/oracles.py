@@ -9,6 +9,7 @@ from repopulse.functions.stopwords import ENGLISH
 from repopulse.schemas import COUNT_METRICS, MEAN_METRICS, METRICS, SCORED_METRICS
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
+_UNITS = "|".join(rf"\d*{unit}" for unit in tx.UNIT_WORDS) + r"|v\d+"
 _WS = r"[ \t\n\x0B\f\r]+"
 _NON_ASCII = r"[^\x00-\x7F]"
 
@@ -37,7 +38,7 @@ def _clean(max_tokens: int | None) -> str:
 def _clean_units() -> str:
     text = f"lower(regexp_replace(coalesce(title, '') || ' ' || coalesce(content, ''), '{_NON_ASCII}', '', 'g'))"
     text = _blank_out(text)
-    for pattern, by in ((tx.UNITS, ""), (r"^-+|-+$|_+$|\++", ""),
+    for pattern, by in ((_UNITS, ""), (r"^-+|-+$|_+$|\++", ""),
                         (r"[?!:;<>()\[\]{}*~`%$^&@#=_|''\"]|\\\\", " "), (r"\b\d+\b", " ")):
         text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
     return f"regexp_replace(replace({text}, '-', ' '), ' +', ' ', 'g')"

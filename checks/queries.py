@@ -674,12 +674,11 @@ def stream_landing(t):
 
 @query
 def stream_rejects(t):
-    spool, good, bad, mark = (_path(t, n) for n in ("spool", "good", "rejects", "checkpoint"))
+    spool, lake, mark = (_path(t, n) for n in ("spool", "lake", "checkpoint"))
     _event_lines(t).write.text(spool)
     valid = F.try_element_at(F.split("value", ","), F.lit(3)) != "error"
-    landing.land_with_rejects(landing.spooled_lines(t.spark, spool), valid, good, bad, mark).awaitTermination()
-    lanes = [t.spark.read.text(p).select("value", F.lit(n).alias("lane")) for n, p in (("valid", good), ("reject", bad))]
-    return lanes[0].unionByName(lanes[1])
+    landing.land_with_rejects(landing.spooled_lines(t.spark, spool), valid, lake, mark).awaitTermination()
+    return t.spark.read.text(lake).select("value", "lane")
 
 
 @query

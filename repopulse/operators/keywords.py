@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from repopulse.functions import text as tx
 from repopulse.functions.stopwords import ENGLISH
 from repopulse.operators import skew
+from repopulse.session import cut_lineage
 
 DOC = ["source", "doc_id"]
 # --- Fixed values ---------------------------------------------------------------------------
@@ -38,7 +39,7 @@ def _with_frequencies(docs: DataFrame, token_rows: DataFrame, rows_per_split: in
     A frequent term is in a large share of the documents, so its rows are spread by document; the
     document frequencies themselves say which terms those are.
     """
-    counts = term_counts(token_rows)
+    counts = cut_lineage(term_counts(token_rows), "term_counts")
     frequency = counts.groupBy("source", "term").agg(F.count("*").alias("df"))
     hot = skew.hot_keys(frequency, ["source", "term"], rows_per_split, rows=F.col("df"))
     n_docs = docs.groupBy("source").agg(F.count("*").alias("n"))

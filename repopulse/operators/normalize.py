@@ -88,7 +88,13 @@ def capped_ratio(value: Column, p95: Column) -> Column:
 
 
 def normalized_metrics(cumulative: DataFrame) -> DataFrame:
+    """Forward fill, cohort percentiles, capped ratios.
+
+    The percentile table has one row per user type, project month and cohort: its size follows the
+    calendar (two types, twelve months a year, a dozen cohorts), not the data, so it is broadcast
+    and a cohort with a third of all repositories needs no shuffle.
+    """
     filled = forward_fill(cumulative)
-    return filled.join(cohort_p95(filled), COHORT).select(
+    return filled.join(F.broadcast(cohort_p95(filled)), COHORT).select(
         *REPO_KEY, "user_type", "month", "repo_index", "repo_created_at",
         *[capped_ratio(F.col(m), F.col(f"{m}_p")).alias(m) for m in METRICS])

@@ -104,16 +104,19 @@ def cooccurrence(posts: DataFrame, floors: dict[str, dt.date] | None = None,
     )
     dates = post_words(kept).select("source", "top_words", "date_published").distinct()
     key = ["source", "top_words"]
-    hot = skew.hot_keys(dates, key, rows_per_split)
     # Many dates meet many partners for a common word: dates are spread, partners replicated.
+    hot = skew.hot_products(dates, pairs, key, rows_per_split)
     return skew.split_join(dates, pairs, key, ["date_published"], hot).select(
         "source", "top_words", "date_published", "search_results", "frequency")
 
 
 def sorted_cooccurrence(pairs: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
-    """Newest dates first, then words with many rows first; ``word_rows`` is the second sort key."""
+    """Newest dates first, then words with many rows first; ``word_rows`` is the second sort key.
+
+    The words complete the sort key, so rows that tie on the first two still spread over tasks.
+    """
     key = ["source", "top_words"]
     counts = pairs.groupBy(*key).agg(F.count("*").alias("word_rows"))
     hot = skew.hot_keys(counts, key, rows_per_split, rows=F.col("word_rows"))
     counted = skew.split_join(pairs, counts, key, ["date_published", "search_results"], hot)
-    return counted.orderBy(F.desc("date_published"), F.desc("word_rows"))
+    return counted.orderBy(F.desc("date_published"), F.desc("word_rows"), "top_words", "search_results")

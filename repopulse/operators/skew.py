@@ -1,9 +1,12 @@
 """Joins and groupings that stay even when one key holds a large share of the rows.
 
-The idea is the same everywhere: count rows per key (two small columns, combined map-side), keep
-only the keys above ``rows_per_split`` and spread each of them over ``rows / rows_per_split``
-sub-keys. There are at most ``total rows / rows_per_split`` such keys, which is what bounds the
-broadcast of the hot list; every other key takes the ordinary join and is not replicated.
+The idea is the same everywhere: count rows per key (few columns, combined map-side), keep the
+keys above ``rows_per_split`` and spread each of them over ``rows / rows_per_split`` sub-keys.
+Every other key takes the ordinary join and is not replicated.
+
+The list of split keys is broadcast and never longer than ``MAX_SPLIT_KEYS``: the hottest come
+first, so a key left unsplit has at most ``rows_per_split`` rows or one ``MAX_SPLIT_KEYS``-th of
+all rows. The limit decides how work is spread, never which rows are in the result.
 """
 
 from collections.abc import Sequence
@@ -12,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 4_000_000
+MAX_SPLIT_KEYS = 10_000
 
 _SPLITS, _SPLIT = "_splits", "_split"
 
@@ -24,7 +28,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_
     """
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n") if rows is None
                                     else F.sum(rows).alias("_n"))
+    return _hottest(counted, keys, rows_per_split)
+
+
+def hot_products(facts: DataFrame, dims: DataFrame, keys: Sequence[str],
+                 rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """As ``hot_keys``, by the rows the join of both sides will produce per key."""
+    left = facts.groupBy(*keys).agg(F.count("*").alias("_l"))
+    right = dims.groupBy(*keys).agg(F.count("*").alias("_r"))
+    return _hottest(left.join(right, list(keys)).withColumn("_n", F.col("_l") * F.col("_r")),
+                    keys, rows_per_split)
+
+
+def _hottest(counted: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
     return (counted.filter(F.col("_n") > rows_per_split)
+            .orderBy(F.desc("_n")).limit(MAX_SPLIT_KEYS)
             .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias(_SPLITS)))
 
 

@@ -34,20 +34,20 @@ def land_lines(spark: SparkSession, spool_dir: str, lake_dir: str, checkpoint: s
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(lake_dir))
 
 
-def land_with_rejects(lines: DataFrame, is_valid: Column, good_dir: str, reject_dir: str,
+def land_with_rejects(lines: DataFrame, is_valid: Column, lake_dir: str,
                       checkpoint: str) -> StreamingQuery:
-    """Valid lines to one folder, the rest to another, both from the same batch.
+    """Lines in two lanes, ``lane=valid`` and ``lane=reject``, written in one pass per batch.
 
-    Every batch writes to its own sub-folder, so a batch that is repeated after a failure replaces
-    its rows instead of adding them again.
+    Every batch has its own sub-folder, so a batch that is repeated after a failure replaces its
+    rows instead of adding them again.
     """
-    flagged = lines.withColumn("_ok", F.coalesce(is_valid, F.lit(False)))
+    lane = F.when(is_valid, F.lit("valid")).otherwise(F.lit("reject"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for keep, target in ((F.col("_ok"), good_dir), (~F.col("_ok"), reject_dir)):
-            batch.filter(keep).drop("_ok").write.mode("overwrite").text(f"{target}/batch={batch_id}")
+        (batch.withColumn("lane", lane).write.mode("overwrite").partitionBy("lane")
+         .text(f"{lake_dir}/batch={batch_id}"))
 
-    return (flagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
