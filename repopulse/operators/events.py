@@ -68,8 +68,11 @@ def classify_events(raw: DataFrame) -> DataFrame:
     ``outcome`` is ``timeline``, ``new_repo``, ``skipped`` (not wanted) or ``rejected`` (broken,
     with ``reason``). The expression is stateless, so it serves batches and streams alike.
     """
-    rows = raw.withColumn("_parts", F.split(F.col("repo_name"), "/")).withColumn(
-        "_json", F.from_json("payload", schemas.PAYLOAD, {"columnNameOfCorruptRecord": "_corrupt"}))
+    # Exploding a one-element list pins the parsed payload as a column; as a plain expression it
+    # would be copied into every later filter and condition and parsed again in each.
+    parsed = F.from_json("payload", schemas.PAYLOAD, {"columnNameOfCorruptRecord": "_corrupt"})
+    rows = raw.select("*", F.split(F.col("repo_name"), "/").alias("_parts"),
+                      F.explode_outer(F.array(parsed)).alias("_json"))
     event, body = F.col("type"), F.col("_json")
     created = _created_time(F.col("created"))
     is_pull, is_issue = event == "PullRequestEvent", event == "IssuesEvent"

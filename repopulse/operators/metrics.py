@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from repopulse.functions.dates import cohort_index, elapsed_units
 from repopulse.operators import skew
-from repopulse.schemas import COUNT_METRICS, MEAN_METRICS, REPO_KEY
+from repopulse.schemas import COUNT_METRICS, MEAN_METRICS, METRICS, REPO_KEY
 
 # --- Fixed values: which events make up which metric ----------------------------------------
 EVENT_OF_METRIC = {
@@ -100,25 +100,29 @@ def monthly_metrics(timeline: DataFrame, repo: DataFrame, base_year: int = 2014,
     one sub-key per repository, so distinct contributors add up exactly in the second step.
     """
     rows = join_repository(timeline, repo, base_year, years, rows_per_split, keep_split=True)
-    keys = [*REPO_KEY, "user_type", "month", "calendar_month"]
+    keys = [*REPO_KEY, "user_type", "month", "first_day"]
+    # Only numbers and dates are aggregated (the cohort text is derived afterwards), which keeps
+    # every step a hash aggregate.
     partial = (
         rows.filter(F.col("month") > 0)
-        .withColumn("calendar_month", F.date_format("created_at", "yyyy_MM"))
+        .withColumn("first_day", F.trunc("created_at", "MM"))
         .groupBy(*keys, skew.SPLIT_COLUMN)
-        .agg(F.min("repo_index").alias("repo_index"),
-             F.min("repo_created_at").alias("repo_created_at"),
+        .agg(F.min("repo_created_at").alias("repo_created_at"),
              *[_event_count(m).alias(m) for m in COUNT_METRICS],
              *[F.sum(_answered(m)).alias(f"{m}_sum") for m in MEAN_METRICS],
              *[F.count(_answered(m)).alias(f"{m}_n") for m in MEAN_METRICS],
              F.count_distinct(contributor()).alias("contributors"))
     )
-    return partial.groupBy(*keys).agg(
-        F.min("repo_index").alias("repo_index"),
+    merged = partial.groupBy(*keys).agg(
         F.min("repo_created_at").alias("repo_created_at"),
         *[F.sum(m).alias(m) for m in COUNT_METRICS],
         *[F.try_divide(F.sum(f"{m}_sum").cast("double"), F.sum(f"{m}_n")).alias(m)
           for m in MEAN_METRICS],
         F.sum("contributors").alias("contributors"))
+    return merged.select(
+        *REPO_KEY, "user_type", "month", F.date_format("first_day", "yyyy_MM").alias("calendar_month"),
+        cohort_index(F.col("repo_created_at"), base_year, years).alias("repo_index"),
+        "repo_created_at", *METRICS)
 
 
 def _passes(bands: list[AgeBand]) -> Column:
