@@ -426,6 +426,11 @@ SELECT doc_id, term, rank, round(plain, 6) AS tfidf FROM (
     "top_terms_clean": "SELECT doc_id, term FROM @kept",
     "post_keywords": f"SELECT source, doc_id, {_s('date_published')}, title, link, top_words FROM @keywords",
     "post_keywords_leading": f"SELECT source, doc_id, {_s('date_published')}, title, link, top_words FROM @keywords_leading",
+    "post_keywords_strict": f"""
+SELECT p.source, p.doc_id, {_s('date_published')}, p.title, p.link, coalesce(string_agg(k.term, ' ' ORDER BY k.term), '') AS top_words
+FROM @f_posts p LEFT JOIN (
+  SELECT doc_id, term FROM (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY plain DESC, term) AS rank FROM @scored_units) x
+  WHERE rank <= 10 AND term IN (SELECT term FROM @f_lexicon)) k ON p.doc_id = k.doc_id GROUP BY ALL""",
     "word_pairs": "SELECT a.doc_id, a.term AS word, b.term AS other FROM @kept a JOIN @kept b ON a.doc_id = b.doc_id AND a.term <> b.term",
     "trailing_scores": """
 SELECT source, top_words, CAST(CAST(upper AS DATE) AS VARCHAR) AS benchmark_date,
@@ -473,4 +478,5 @@ def _page_text() -> str:
 
 
 ORACLES["page_text"] = _page_text()
+ORACLES["mention_graph_sorted"] = ORACLES["mention_graph"] + " ORDER BY e.created_at DESC, repo1, repository_name, repo2"
 ORACLES = {name: oracle(sql) for name, sql in ORACLES.items()}

@@ -488,8 +488,7 @@ def page_text(t):
 
 @query
 def clean_feed_fields(t):
-    patterns = t["f_posts"].select("source").distinct().withColumn("pattern", F.lit("The .*? the "))
-    return feeds.clean_posts(t["f_posts"], patterns.filter("source = 'high_scalablity'"))
+    return feeds.clean_posts(t["f_posts"], {"high_scalablity": "The .*? the "})
 
 
 @query
@@ -599,6 +598,11 @@ def post_keywords_leading(t):
     return _post_keywords(t, tx.LEADING_TOKENS)
 
 
+@query
+def post_keywords_strict(t):
+    return posts_job.post_keywords_strict(t["f_posts"], t["f_lexicon"])
+
+
 @query
 def word_pairs(t):
     pairs = F.explode(tx.word_pairs(F.col("top_words"))).alias("pair")
@@ -646,6 +650,11 @@ def mention_counts(t):
 
 @query
 def mention_graph(t):
+    return mentions.mention_graph(_consolidated(t))
+
+
+@query
+def mention_graph_sorted(t):
     return mentions.sorted_graph(mentions.mention_graph(_consolidated(t)))
 
 

@@ -97,12 +97,11 @@ def has_unwanted_fragment(word: Column) -> Column:
     return hit
 
 
-def clean_feed_text(text: Column, boilerplate: Column | None = None) -> Column:
+def clean_feed_text(text: Column, boilerplate: str | None = None) -> Column:
     """Feed title or content: ASCII, no line breaks or apostrophes, commas blanked."""
     text = F.translate(ascii_only(text), "\n'", "")
     if boilerplate is not None:
-        text = F.when(boilerplate.isNull(), text).otherwise(
-            F.regexp_replace(text, boilerplate, F.lit("")))
+        text = F.regexp_replace(text, boilerplate, "")
     return F.replace(text, F.lit(","), F.lit(" "))
 
 

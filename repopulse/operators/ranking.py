@@ -12,6 +12,7 @@ from repopulse.operators import skew
 TRAILING_DAYS = 30
 WINDOW_MONTHS = 6
 SCORE_DAYS = 180
+DATE_FLOORS = {"dzone": dt.date(2014, 1, 1)}
 # -------------------------------------------------------------------------------------------
 
 
@@ -95,7 +96,7 @@ def cooccurrence(posts: DataFrame, floors: dict[str, dt.date] | None = None,
     Pairs come from each post's own short list and are counted before anything is shuffled; dates
     join the counted pairs, never the posts.
     """
-    kept = dated(posts).filter(on_or_after(floors or {}))
+    kept = dated(posts).filter(on_or_after(DATE_FLOORS if floors is None else floors))
     pairs = (
         kept.select("source", F.explode("top_words").alias("top_words"), F.col("top_words").alias("others"))
         .select("source", "top_words", F.explode("others").alias("search_results"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from repopulse.functions import text as tx
 from repopulse.operators import keywords, ranking
 from repopulse.session import cut_lineage
+from repopulse.sources import files
 
 
 def post_tokens(posts: DataFrame, max_tokens: int | None = None) -> DataFrame:
@@ -23,6 +24,14 @@ def post_keywords(posts: DataFrame, lexicon: DataFrame, max_tokens: int | None =
     return keywords.collect_top_words(posts, terms)
 
 
+def post_keywords_strict(posts: DataFrame, lexicon: DataFrame, max_tokens: int | None = None) -> DataFrame:
+    """The other clean-up (unit words cut) with unscaled TF-IDF and exactly ten candidates."""
+    clean = tx.clean_text_units(F.col("title"), F.col("content"), max_tokens)
+    tokens = keywords.tokens(posts, tx.spaced_words(clean))
+    terms = keywords.top_terms_strict(keywords.tfidf_plain(posts, tokens))
+    return keywords.collect_top_words(posts, keywords.keep_lexicon_words(terms, lexicon))
+
+
 @dataclasses.dataclass(frozen=True)
 class Rankings:
     trailing: DataFrame
@@ -38,6 +47,14 @@ def rank_words(tagged: DataFrame, as_of: dt.datetime, floors: dict[str, dt.date]
                     ranking.cooccurrence(tagged, floors), keywords.recency_frequency(page))
 
 
+def write_results(tagged: DataFrame, rankings: Rankings, out: str) -> None:
+    """One headered CSV result per table, a folder per source inside it."""
+    for name, df in {"tfidf_result": tagged, "trailing_scores": rankings.trailing,
+                     "first_seen": rankings.first_seen, "cooccurrence": rankings.cooccurrence,
+                     "recency_frequency": rankings.recency}.items():
+        files.write_csv(df, f"{out}/{name}.csv", ["source"])
+
+
 def run_posts(posts: DataFrame, lexicon: DataFrame, as_of: dt.datetime,
               floors: dict[str, dt.date] | None = None) -> tuple[DataFrame, Rankings]:
     """Key words are written once; the four ranking tables start from the written rows."""

@@ -7,6 +7,7 @@ from repopulse.functions import text as tx
 
 # --- Fixed values: the two date formats feeds use -------------------------------------------
 DATE_FORMATS = ["dd MMM yyyy HH:mm:ss Z", "dd MMM yyyy HH:mm:ss z"]
+BOILERPLATE_PATTERNS = {"high_scalablity": " - High Scalability.*}  "}
 ITEM_SCHEMA = "title STRING, description STRING, link STRING, pubDate STRING"
 # -------------------------------------------------------------------------------------------
 
@@ -25,17 +26,18 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
         F.col("description").alias("content"), "link")
 
 
-def clean_posts(posts: DataFrame, boilerplate: DataFrame | None = None) -> DataFrame:
-    """Feed fields as stored. ``boilerplate`` has one pattern per source to cut from contents."""
-    pattern = None
-    if boilerplate is not None:
-        posts = posts.join(boilerplate.select("source", "pattern"), "source", "left")
-        pattern = F.col("pattern")
+def clean_posts(posts: DataFrame, boilerplate: dict[str, str] | None = None) -> DataFrame:
+    """Feed fields as stored. ``boilerplate`` is the text pattern to cut per source; the sources
+    are those of the feed configuration, so they go into the expression and nothing is joined."""
+    content = tx.clean_feed_text(F.col("content"))
+    for source, pattern in (BOILERPLATE_PATTERNS if boilerplate is None else boilerplate).items():
+        cut = tx.clean_feed_text(F.col("content"), pattern)
+        content = F.when(F.col("source") == source, cut).otherwise(content)
     return posts.withColumns({
         "title": tx.clean_feed_text(F.col("title")),
-        "content": tx.clean_feed_text(F.col("content"), pattern),
+        "content": content,
         "link": tx.clean_feed_link(F.col("link")),
-    }).drop("pattern")
+    })
 
 
 def newer_posts(posts: DataFrame, marks: DataFrame) -> DataFrame:

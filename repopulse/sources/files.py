@@ -3,6 +3,7 @@
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,3 +115,15 @@ def file_freshness(spark: SparkSession, path: str) -> DataFrame:
     return (files.withColumn("file_name", F.split_part(relative, F.lit("/"), F.lit(1)))
             .filter(~F.startswith("file_name", F.lit(FRESHNESS_FILE)))
             .groupBy("file_name").agg(F.max("modificationTime").alias("last_modified")))
+
+
+def read_mark(spark: SparkSession, path: str, default: dt.date) -> dt.date:
+    """The last loaded day, kept as a one-row table."""
+    try:
+        return spark.read.parquet(path).first()["last_run"] or default
+    except AnalysisException:
+        return default
+
+
+def write_mark(spark: SparkSession, day: dt.date, path: str) -> None:
+    spark.createDataFrame([(day,)], "last_run date").write.mode("overwrite").parquet(path)

@@ -86,7 +86,7 @@ def test_feed_marks(frame):
 def test_clean_posts_boilerplate(frame):
     posts = frame("source string, title string, content string, link string",
                   [("a", "T,\n'x'", "body - Feed stuff}  rest, end", "l,1"), ("b", "t", "body - Feed stuff}  rest", "l")])
-    clean = feeds.clean_posts(posts, frame("source string, pattern string", [("a", " - Feed.*}  ")]))
+    clean = feeds.clean_posts(posts, {"a": " - Feed.*}  "})
     assert rows(clean.select("source", "title", "content", "link")) == [
         ("a", "T x", "bodyrest  end", "lCOMMA1"), ("b", "t", "body - Feed stuff}  rest", "l")]
 
