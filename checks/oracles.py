@@ -334,7 +334,7 @@ FROM (SELECT *, state = 'ok' AS ok FROM @f_details) x""",
 SELECT full_name, coalesce(login, '') AS author_login, coalesce(CAST(total AS VARCHAR), '') AS contributions, '2016-01-01' AS created_at
 FROM @f_stats WHERE state = 'ok'
 UNION ALL SELECT DISTINCT full_name, '', '', '2016-01-01' FROM @f_stats WHERE state <> 'ok'""",
-    "packed_records": "SELECT year(repo_created_at) AS year, repository_owner, repository_name, user_type FROM @f_repo",
+    "packed_records": "SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag, l_linestatus FROM lineitem",
     "event_whitelist": f"SELECT event_id, type FROM @f_archive WHERE type NOT IN ({_UNTRACKED})",
     "required_fields": """
 SELECT event_id, repo_name, type, created FROM @f_archive

@@ -208,9 +208,9 @@ def contributor_rows(t):
 
 @query
 def packed_records(t):
-    names = ["repository_owner", "repository_name", "user_type"]
-    packed = t["f_repo"].groupBy(F.year("repo_created_at").alias("year")).agg(
-        F.concat_ws(",", F.collect_list(responses.pack([F.col(c) for c in names]))).alias("records"))
+    names = ["l_linenumber", "l_returnflag", "l_linestatus"]
+    record = responses.pack([F.col(c).cast("string") for c in names])
+    packed = t["lineitem"].groupBy("l_orderkey").agg(F.concat_ws(",", F.collect_list(record)).alias("records"))
     return responses.unpack(packed, "records", names)
 
 

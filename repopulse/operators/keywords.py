@@ -44,7 +44,7 @@ def _with_frequencies(docs: DataFrame, token_rows: DataFrame, rows_per_split: in
     hot = skew.hot_keys(frequency, ["source", "term"], rows_per_split, rows=F.col("df"))
     n_docs = docs.groupBy("source").agg(F.count("*").alias("n"))
     return skew.split_join(counts, frequency.join(n_docs, "source"), ["source", "term"],
-                           ["doc_id"], hot)
+                           ["doc_id"], hot, strategy="merge")
 
 
 def tfidf_plain(docs: DataFrame, token_rows: DataFrame,

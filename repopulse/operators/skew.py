@@ -61,10 +61,17 @@ def replicate_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def split_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-               hot: DataFrame, how: str = "inner", keep_split: bool = False) -> DataFrame:
-    """Equi-join of a large, possibly skewed side with a side that has few rows per key."""
-    joined = split_hot(facts, hot, keys, spread_by).join(
-        replicate_hot(dims, hot, keys), [*keys, _SPLIT], how)
+               hot: DataFrame, how: str = "inner", keep_split: bool = False,
+               strategy: str | None = None) -> DataFrame:
+    """Equi-join of a large, possibly skewed side with a side that has few rows per key.
+
+    ``strategy`` is a join hint for sides that are both large by nature; without one Spark decides
+    by size.
+    """
+    right = replicate_hot(dims, hot, keys)
+    if strategy:
+        right = right.hint(strategy)
+    joined = split_hot(facts, hot, keys, spread_by).join(right, [*keys, _SPLIT], how)
     return joined if keep_split else joined.drop(_SPLIT)
 
 
