@@ -510,7 +510,7 @@ def stopword_set(t):
 
 
 def _tokens(t):
-    return posts_job.post_tokens(t["f_posts"])
+    return posts_job.post_terms(t["f_posts"])
 
 
 def _tfidf(t):
@@ -523,7 +523,7 @@ def _top(t):
 
 def _unit_tokens(t):
     clean = tx.clean_text_units(F.col("title"), F.col("content"))
-    return keywords.tokens(t["f_posts"], tx.spaced_words(clean))
+    return keywords.term_counts(t["f_posts"], tx.spaced_words(clean))
 
 
 def _plain_tfidf(t):
@@ -540,12 +540,12 @@ def _tagged(t):
 
 @query
 def tokens(t):
-    return keywords.term_counts(_tokens(t))
+    return _tokens(t)
 
 
 @query
 def tokens_units(t):
-    return keywords.term_counts(_unit_tokens(t))
+    return _unit_tokens(t)
 
 
 @query

@@ -85,6 +85,23 @@ def spaced_words(text: Column) -> Column:
     return F.split(text, " ")
 
 
+def word_counts(items: Column) -> Column:
+    """Each different word of one list with its count, as an array of (term, tf).
+
+    The sorted list is cut into runs inside the row, so counting the words of a document needs no
+    shuffle. One-element arrays bind the sorted list and the run starts to a variable each;
+    otherwise they would be computed again for every element.
+    """
+    def runs(ordered: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1),
+                          lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return F.transform(F.array(starts), lambda begin: F.transform(begin, lambda at, n: F.struct(
+            F.get(ordered, at).alias("term"),
+            (F.coalesce(F.get(begin, n + 1), F.size(ordered)) - at).cast("long").alias("tf"))))[0]
+
+    return F.transform(F.array(F.sort_array(items)), runs)[0]
+
+
 def kept_word(word: Column, stop_words: Iterable[str]) -> Column:
     """Longer than one character and not a stop word."""
     return (F.length(word) > 1) & ~word.isin(*stop_words)

@@ -18,28 +18,23 @@ HASH_BUCKETS = 200_000
 # -------------------------------------------------------------------------------------------
 
 
-def tokens(docs: DataFrame, split: Column, stop_words: Iterable[str] = ENGLISH) -> DataFrame:
-    """One row per kept token of each document; ``split`` is the array of raw tokens.
+def term_counts(docs: DataFrame, split: Column, stop_words: Iterable[str] = ENGLISH) -> DataFrame:
+    """Kept terms of each document with their counts; ``split`` is the array of raw tokens.
 
-    Documents are spread by id first: the term counts of a document then need no further shuffle,
-    and few large input files do not limit the parallelism of the text work. ``explode_outer``
-    keeps Spark from evaluating the clean-up again in an inferred not-empty filter.
+    ``docs`` has one row per document, so this is a map over rows. ``inline_outer`` keeps Spark
+    from evaluating the clean-up a second time in an inferred not-empty filter.
     """
-    return docs.repartition("doc_id").select(*DOC, F.explode_outer(split).alias("term")).filter(
+    return docs.select(*DOC, F.inline_outer(tx.word_counts(split))).filter(
         tx.kept_word(F.col("term"), list(stop_words)))
 
 
-def term_counts(token_rows: DataFrame) -> DataFrame:
-    return token_rows.groupBy(*DOC, "term").agg(F.count("*").alias("tf"))
-
-
-def _with_frequencies(docs: DataFrame, token_rows: DataFrame, rows_per_split: int) -> DataFrame:
+def _with_frequencies(docs: DataFrame, counts: DataFrame, rows_per_split: int) -> DataFrame:
     """Term counts with the documents holding the term and all documents of the source.
 
     A frequent term is in a large share of the documents, so its rows are spread by document; the
     document frequencies themselves say which terms those are.
     """
-    counts = cut_lineage(term_counts(token_rows), "term_counts")
+    counts = cut_lineage(counts, "term_counts")
     frequency = counts.groupBy("source", "term").agg(F.count("*").alias("df"))
     hot = skew.hot_keys(frequency, ["source", "term"], rows_per_split, rows=F.col("df"))
     n_docs = docs.groupBy("source").agg(F.count("*").alias("n"))
@@ -47,20 +42,20 @@ def _with_frequencies(docs: DataFrame, token_rows: DataFrame, rows_per_split: in
                            ["doc_id"], hot, strategy="merge")
 
 
-def tfidf_plain(docs: DataFrame, token_rows: DataFrame,
+def tfidf_plain(docs: DataFrame, counts: DataFrame,
                 rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """tf * ln((n + 1) / (df + 1)), the term kept next to its score."""
     idf = F.log((F.col("n") + 1) / (F.col("df") + 1))
-    return _with_frequencies(docs, token_rows, rows_per_split).select(
+    return _with_frequencies(docs, counts, rows_per_split).select(
         *DOC, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 
 
-def tfidf(docs: DataFrame, token_rows: DataFrame,
+def tfidf(docs: DataFrame, counts: DataFrame,
           rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """tf * (ln((1 + n) / (1 + df)) + 1), each document scaled to length 1."""
     weight = F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1)
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(*DOC)))
-    return (_with_frequencies(docs, token_rows, rows_per_split).withColumn("weight", weight)
+    return (_with_frequencies(docs, counts, rows_per_split).withColumn("weight", weight)
             .select(*DOC, "term", "tf", "weight", (F.col("weight") / norm).alias("tfidf")))
 
 

@@ -12,14 +12,14 @@ from repopulse.session import cut_lineage
 from repopulse.sources import files
 
 
-def post_tokens(posts: DataFrame, max_tokens: int | None = None) -> DataFrame:
+def post_terms(posts: DataFrame, max_tokens: int | None = None) -> DataFrame:
     clean = tx.clean_text(F.col("title"), F.col("content"), max_tokens)
-    return keywords.tokens(posts, tx.words(clean))
+    return keywords.term_counts(posts, tx.words(clean))
 
 
 def post_keywords(posts: DataFrame, lexicon: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """Posts with their top words: TF-IDF per source, top ten, nouns of the lexicon only."""
-    scored = keywords.tfidf(posts, post_tokens(posts, max_tokens))
+    scored = keywords.tfidf(posts, post_terms(posts, max_tokens))
     terms = keywords.clean_top_terms(keywords.top_terms(scored), lexicon)
     return keywords.collect_top_words(posts, terms)
 
@@ -27,8 +27,8 @@ def post_keywords(posts: DataFrame, lexicon: DataFrame, max_tokens: int | None =
 def post_keywords_strict(posts: DataFrame, lexicon: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """The other clean-up (unit words cut) with unscaled TF-IDF and exactly ten candidates."""
     clean = tx.clean_text_units(F.col("title"), F.col("content"), max_tokens)
-    tokens = keywords.tokens(posts, tx.spaced_words(clean))
-    terms = keywords.top_terms_strict(keywords.tfidf_plain(posts, tokens))
+    counts = keywords.term_counts(posts, tx.spaced_words(clean))
+    terms = keywords.top_terms_strict(keywords.tfidf_plain(posts, counts))
     return keywords.collect_top_words(posts, keywords.keep_lexicon_words(terms, lexicon))
 
 

@@ -51,3 +51,9 @@ def test_page_text(frame):
 
 def test_repository_key(frame):
     assert one(frame, tx.repository_key(F.col("a")), "Own/Näme.JS") == "nme.js"
+
+
+def test_word_counts(frame):
+    df = frame("w array<string>", [(["b", "a", "b", "", "c", "b"],), ([""],), (["x"],)])
+    got = [[(r.term, r.tf) for r in row[0]] for row in df.select(tx.word_counts(F.col("w"))).collect()]
+    assert got == [[("", 1), ("a", 1), ("b", 3), ("c", 1)], [("", 1)], [("x", 1)]]

@@ -24,24 +24,24 @@ def rounded(df):
 
 def test_tfidf_values(frame):
     docs = posts(frame, ["apple apple pear", "pear plum", "plum"])
-    got = {(r.doc_id, r.term): r for r in keywords.tfidf(docs, posts_job.post_tokens(docs)).collect()}
+    got = {(r.doc_id, r.term): r for r in keywords.tfidf(docs, posts_job.post_terms(docs)).collect()}
     apple, pear = 2 * (math.log(4 / 2) + 1), math.log(4 / 3) + 1
     assert math.isclose(got[0, "apple"].weight, apple)
     assert math.isclose(got[0, "apple"].tfidf, apple / math.hypot(apple, pear))
-    plain = {(r.doc_id, r.term): r.tfidf for r in keywords.tfidf_plain(docs, posts_job.post_tokens(docs)).collect()}
+    plain = {(r.doc_id, r.term): r.tfidf for r in keywords.tfidf_plain(docs, posts_job.post_terms(docs)).collect()}
     assert math.isclose(plain[0, "apple"], 2 * math.log(2))
 
 
 def test_hot_term_split_changes_nothing(frame):
     pick = random.Random(1)
     docs = posts(frame, ["common " + " ".join(f"w{pick.randrange(30)}" for _ in range(20)) for _ in range(60)])
-    tokens = posts_job.post_tokens(docs)
+    tokens = posts_job.post_terms(docs)
     assert rows(rounded(keywords.tfidf(docs, tokens))) == rows(rounded(keywords.tfidf(docs, tokens, rows_per_split=5)))
 
 
 def test_ties_at_rank_ten_are_kept(frame):
     docs = posts(frame, ["one1 " * 3 + " ".join(f"t{i}x" for i in range(14)), "other"])
-    scored = keywords.tfidf(docs, posts_job.post_tokens(docs)).filter("doc_id = 0")
+    scored = keywords.tfidf(docs, posts_job.post_terms(docs)).filter("doc_id = 0")
     assert keywords.top_terms(scored).count() == 15
     assert keywords.top_terms_strict(scored, "weight").count() == 10
 
