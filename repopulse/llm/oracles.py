@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 ORACLES = {
     "op9_substring_dedup": f"""
@@ -12,6 +12,6 @@ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM keyed JOIN f
 lost AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE
-         list_transform(list_filter(range(1, len(w) + 1), j -> NOT list_contains(ps, j)), j -> w[j]) END, ' ')) AS kept_sha256
+         list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(ps, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
 FROM t LEFT JOIN lost USING (doc_id)""",
 }
