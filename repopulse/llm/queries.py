@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import substring_dedup
+from repopulse.llm import line_quality, near_dedup, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,3 +26,23 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words cut from every document because an earlier one holds them in a 13-word run."""
     cut = substring_dedup.cut_repeats(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document; one fold of the labels is never learned from."""
+    scored = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "language")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of the line field."""
+    docs = _table(spark, sf_dir, "documents")
+    return line_quality.judge(docs, line_quality.fit_field(docs, _table(spark, sf_dir, "labels")))
