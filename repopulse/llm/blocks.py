@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from repopulse.llm.ship import ship
 from repopulse.llm.words import text_buffer
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Sorts before every id; stands for a missing one inside an operator.
 NO_ID = -(1 << 63)
 

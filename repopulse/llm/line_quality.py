@@ -155,8 +155,12 @@ class LineField:
             mark[:active] = back[at, mark[:active]]
         return marks
 
-    def fit(self, columns: np.ndarray, bounds: np.ndarray, marks: np.ndarray, rounds: int = 60, rate: float = 0.15, decay: float = 1e-3):
-        """Maximum likelihood by Adam on the exact gradient; marks has one mark for each line."""
+    def fit(self, columns: np.ndarray, bounds: np.ndarray, marks: np.ndarray, rounds: int = 60, rate: float = 0.15, decay: float = 1e-3, smooth: float = 0.3):
+        """Maximum likelihood by Adam on the exact gradient; marks has one mark for each line.
+
+        ``smooth`` holds the transitions near 0: a document's label stands for each of its lines, so the sample
+        shows no change of mark inside a text, and without it one odd line would turn all others.
+        """
         lengths = np.diff(bounds)
         texts, longest = len(lengths), int(lengths.max(initial=0))
         if not texts:
@@ -183,7 +187,7 @@ class LineField:
             grad_w = np.stack([np.bincount(columns.ravel(), np.repeat(flat[:, k], columns.shape[1]), FEATURES) for k in range(2)], axis=1)
             seen = np.zeros((2, 2))
             np.add.at(seen, (y[:, :-1][inside[:, 1:]], y[:, 1:][inside[:, 1:]]), 1)
-            grads = (grad_w / texts - decay * self.weights, (seen - pair.sum(axis=(0, 1))) / texts - decay * self.moves, gap[:, 0].sum(axis=0) / texts)
+            grads = (grad_w / texts - decay * self.weights, (seen - pair.sum(axis=(0, 1))) / texts - smooth * self.moves, gap[:, 0].sum(axis=0) / texts)
             for p, g, (m, v) in zip((self.weights, self.moves, self.first), grads, moments, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
