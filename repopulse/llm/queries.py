@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import line_quality, near_dedup, substring_dedup, toxicity
+from repopulse.llm import line_quality, lm_scoring, near_dedup, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,6 +34,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and attention-model score of every document; one fold is held out of both."""
+    scored = lm_scoring.score_texts(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document; one fold of the labels is never learned from."""
