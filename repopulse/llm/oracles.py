@@ -14,4 +14,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
        sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE
          list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(ps, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
 FROM t LEFT JOIN lost USING (doc_id)""",
+    "op6_chat_formatting": r"""
+WITH t AS (SELECT conv_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said FROM conversations
+           WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+p AS (SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, CAST(turn AS BIGINT) AS turn,
+             min(CASE WHEN conv_id % 2 = 0 THEN said END) AS chosen, min(CASE WHEN conv_id % 2 <> 0 THEN said END) AS rejected
+      FROM t GROUP BY 1, 2),
+d AS (SELECT pair_id, min(CASE WHEN chosen IS DISTINCT FROM rejected THEN turn END) AS parted FROM p GROUP BY pair_id),
+s AS (SELECT p.pair_id, turn, 'prompt' AS segment, chosen AS said FROM p JOIN d USING (pair_id) WHERE parted IS NULL OR turn < parted
+      UNION ALL SELECT p.pair_id, turn, 'chosen', chosen FROM p JOIN d USING (pair_id) WHERE turn >= parted AND chosen IS NOT NULL
+      UNION ALL SELECT p.pair_id, turn, 'rejected', rejected FROM p JOIN d USING (pair_id) WHERE turn >= parted AND rejected IS NOT NULL)
+SELECT pair_id, segment, turn, said.role AS role, '<|' || said.role || '|>' || chr(10) || said.text || chr(10) AS rendered,
+       segment <> 'prompt' AND said.role = 'assistant' AS loss
+FROM s""",
 }

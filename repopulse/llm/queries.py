@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import line_quality, lm_scoring, near_dedup, substring_dedup, toxicity
+from repopulse.llm import decontamination, line_quality, lm_scoring, mixing, near_dedup, preferences, substring_dedup, token_files, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,6 +28,25 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of a document within the edit distance of a benchmark item; only contaminated documents have rows."""
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as the written files hold them."""
+    return token_files.read_shards(token_files.write_shards(_table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
@@ -53,3 +72,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of the line field."""
     docs = _table(spark, sf_dir, "documents")
     return line_quality.judge(docs, line_quality.fit_field(docs, _table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of prompt and completions of neighbouring conversations."""
+    turns = _table(spark, sf_dir, "conversations")
+    return preferences.segments(turns, preferences.neighbours(turns)).drop("text")
+
+
+@query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
