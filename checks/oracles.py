@@ -466,11 +466,15 @@ SELECT concat_ws(',', event_id, user_id, event_type, value) AS value, CASE WHEN
 }
 
 
+# Entities of the given pages; the ampersand last, so that nothing is decoded twice.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
+
+
 def _page_text() -> str:
     text = "html"
     for pattern in (tx.HIDDEN_BLOCKS, tx.TAGS):
         text = f"regexp_replace({text}, '{pattern}', '', 'g')"
-    for entity, char in tx.ENTITIES.items():
+    for entity, char in _ENTITIES.items():
         quoted = char.replace("'", "''")
         text = f"replace({text}, '{entity}', '{quoted}')"
     return (f"SELECT page_id, url, replace(translate(regexp_replace({text}, '{_NON_ASCII}', '', 'g'), "

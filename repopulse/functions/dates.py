@@ -1,5 +1,6 @@
 """Time arithmetic of the metric jobs as plain column expressions."""
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column
@@ -56,15 +57,15 @@ def first_day_not_before(ts: Column) -> Column:
     return F.when(ts == day.cast("timestamp_ntz"), day).otherwise(F.date_add(day, 1))
 
 
-def month_number(year: Column | int, month: Column | int) -> Column | int:
-    return year * 12 + month
-
-
 def months_back(as_of: dt.datetime, n_months: int) -> tuple[tuple[int, int], tuple[int, int]]:
-    """First and last (year, month) of a run: 25 days per month before this month's first day,
-    stepped month by month up to now, so the current month counts only once its day is reached."""
-    first = dt.datetime(as_of.year, as_of.month, 1) - dt.timedelta(days=25 * n_months)
-    last = as_of.year * 12 + as_of.month - 1
-    if first.day > as_of.day and (first.year, first.month) != (as_of.year, as_of.month):
-        last -= 1
-    return (first.year, first.month), (last // 12, last % 12 + 1)
+    """First and last (year, month) of a run: 25 days per month before this month's first day, then
+    stepped month by month up to now. A day that a short month clips stays clipped, so the current
+    month counts once the smallest day met is reached."""
+    step = dt.datetime(as_of.year, as_of.month, 1) - dt.timedelta(days=25 * n_months)
+    first = last = (step.year, step.month)
+    while True:
+        year, month = divmod(step.year * 12 + step.month, 12)
+        step = step.replace(year=year, month=month + 1, day=min(step.day, calendar.monthrange(year, month + 1)[1]))
+        if step > as_of:
+            return first, last
+        last = (step.year, step.month)

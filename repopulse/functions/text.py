@@ -5,6 +5,7 @@ leading-token window is a parameter for callers who want only the start of each
 """
 
 from collections.abc import Iterable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -126,20 +127,39 @@ def clean_feed_link(link: Column) -> Column:
     return F.replace(link, F.lit(","), F.lit("COMMA"))
 
 
-# --- Fixed values: named entities that occur in article mark-up -----------------------------
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# --- Fixed values: blocks and tags that are not visible text --------------------------------
 HIDDEN_BLOCKS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 TAGS = r"(?s)<[^>]*>"
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 # -------------------------------------------------------------------------------------------
 
+#: Code points of the named entities of HTML 4; a hard space counts as a space.
+ENTITY_CODES = name2codepoint | {"nbsp": ord(" "), "apos": ord("'")}
+
+
+def unescape(text: Column) -> Column:
+    """Named and numeric entities as characters, each once; unknown ones stay, impossible code points go."""
+    codes = F.create_map(*[F.lit(x) for pair in ENTITY_CODES.items() for x in pair])
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, ENTITY, 1)
+        code = (F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+                .when(name.startswith("#"), F.substring(name, 2, 7).cast("int"))
+                .otherwise(F.try_element_at(codes, name)))
+        possible = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(possible, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("")
+        return F.when(code.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(char, F.substring(piece, F.length(name) + 2, F.length(piece))))
+
+    pieces = F.split(text, "&")
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
+    plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
+
 
 def page_text(html: Column) -> Column:
     """Visible text of a page: no scripts, styles, comments or tags; entities unescaped."""
-    text = F.regexp_replace(html, HIDDEN_BLOCKS, "")
-    text = F.regexp_replace(text, TAGS, "")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return unescape(F.regexp_replace(F.regexp_replace(html, HIDDEN_BLOCKS, ""), TAGS, ""))
 
 
 def repository_key(full_name: Column) -> Column:

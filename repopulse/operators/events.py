@@ -17,7 +17,8 @@ CREATED_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.000000$"
 # -------------------------------------------------------------------------------------------
 
 
-def _blank(col: Column) -> Column:
+def blank(col: Column) -> Column:
+    """Missing, empty or spaces only."""
     return F.coalesce(F.trim(col), F.lit("")) == ""
 
 
@@ -27,7 +28,7 @@ def drop_untracked(events: DataFrame, column: str = "type") -> DataFrame:
 
 def require_fields(events: DataFrame, columns=("repo_name", "type", "created")) -> DataFrame:
     for column in columns:
-        events = events.filter(~_blank(F.col(column)))
+        events = events.filter(~blank(F.col(column)))
     return events
 
 
@@ -87,7 +88,7 @@ def classify_events(raw: DataFrame) -> DataFrame:
     )
     reason = (
         F.when(F.coalesce(F.size("_parts"), F.lit(0)) != 2, F.lit("bad_repo_name"))
-        .when(_blank(event) | _blank(F.col("created")), F.lit("blank_field"))
+        .when(blank(event) | blank(F.col("created")), F.lit("blank_field"))
         .when(event.isin(UNTRACKED_EVENTS), F.lit(None))
         .when(created.isNull(), F.lit("bad_time"))
         .when(body.isNull() | body["_corrupt"].isNotNull(), F.lit("bad_json"))

@@ -37,7 +37,8 @@ def _with_frequencies(docs: DataFrame, counts: DataFrame, rows_per_split: int) -
     counts = cut_lineage(counts, "term_counts")
     frequency = counts.groupBy("source", "term").agg(F.count("*").alias("df"))
     hot = skew.hot_keys(frequency, ["source", "term"], rows_per_split, rows=F.col("df"))
-    n_docs = docs.groupBy("source").agg(F.count("*").alias("n"))
+    # One row a source; broadcast, as a join on a handful of keys would put a vocabulary into one task.
+    n_docs = F.broadcast(docs.groupBy("source").agg(F.count("*").alias("n")))
     return skew.split_join(counts, frequency.join(n_docs, "source"), ["source", "term"],
                            ["doc_id"], hot, strategy="merge")
 

@@ -36,18 +36,17 @@ def trailing_scores(words: DataFrame, as_of: dt.date) -> DataFrame:
     """
     per_day = (words.withColumn("counts_from", first_day_not_before(F.col("date_published")))
                .groupBy("source", "top_words", "counts_from").agg(F.count("*").alias("links")))
+    # Benchmark day i days before the newest: a post counts while counts_from <= newest - i and
+    # counts_from > newest - 6 months - i, which is a range of i, so the days are a plain sequence.
     newest = F.date_sub(F.lit(as_of.isoformat()).cast("date"), 1)
-    back = words.sparkSession.range(TRAILING_DAYS).select(F.col("id").cast("int").alias("i"))
-    spine = back.select(
-        F.date_sub(newest, F.col("i")).alias("benchmark_date"),
-        F.date_sub(F.add_months(newest, -WINDOW_MONTHS), F.col("i")).alias("lower"))
+    low = F.greatest(F.lit(0), F.date_diff(F.add_months(newest, -WINDOW_MONTHS), "counts_from") + 1)
+    high = F.least(F.lit(TRAILING_DAYS - 1), F.date_diff(newest, "counts_from"))
+    days = (per_day.filter(low <= high)
+            .select("*", F.explode(F.sequence(low, high)).alias("i"))
+            .withColumn("benchmark_date", F.date_sub(newest, F.col("i"))))
     age = F.date_diff("benchmark_date", "counts_from")
-    # The spine always has 30 rows.
     return (
-        per_day.join(F.broadcast(spine),
-                     (F.col("counts_from") > F.col("lower"))
-                     & (F.col("counts_from") <= F.col("benchmark_date")))
-        .groupBy("source", "top_words", "benchmark_date")
+        days.groupBy("source", "top_words", "benchmark_date")
         .agg((F.sum(F.col("links") * (SCORE_DAYS - age)) / SCORE_DAYS).alias("score"),
              F.sum("links").alias("no_of_links"))
     )

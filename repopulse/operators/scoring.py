@@ -1,11 +1,13 @@
 """Random-forest scores, one model per user type and age in months."""
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.session import cut_lineage
+from repopulse.session import cut_lineage, shared_path
 
 # --- Fixed values ---------------------------------------------------------------------------
 USER_TYPES = ["User", "Organization"]
@@ -46,13 +48,20 @@ def load_models(path: str, wanted: list[tuple[str, int]]) -> Models:
 
 
 def score_repositories(vectors: DataFrame, models: Models) -> DataFrame:
-    """Probability of class 1 from the model of each repository's own cohort."""
-    data = cut_lineage(vectors.withColumn("vector", array_to_vector("features")))
-    scored = None
-    for cohort, model in models.items():
-        part = model.transform(_cohort(data, *cohort)).select(
-            vector_to_array("probability")[1].alias("model_score"),
-            "repo_owner", "repo_name", "user_type", "repo_created_at",
-            F.col("max_month").alias("age_of_project"))
-        scored = part if scored is None else scored.unionByName(part)
-    return scored
+    """Probability of class 1 from the model of each repository's own cohort; NULL without a model.
+
+    Vectors are written by cohort, so every model reads its own folder and the input is made once.
+    """
+    data = vectors.withColumn("vector", array_to_vector("features"))
+    path = shared_path(vectors.sparkSession, "vectors")
+    data.write.partitionBy("user_type", "max_month").parquet(path)
+    data = vectors.sparkSession.read.schema(data.schema).parquet(path)
+    place = ["repo_owner", "repo_name", "user_type", "repo_created_at", F.col("max_month").alias("age_of_project")]
+    served = F.lit(False)
+    parts = []
+    for (user_type, month), model in models.items():
+        served = served | (F.col("user_type").eqNullSafe(user_type) & F.col("max_month").eqNullSafe(month))
+        parts.append(model.transform(_cohort(data, user_type, month)).select(
+            vector_to_array("probability")[1].alias("model_score"), *place))
+    rest = data.filter(~served).select(F.lit(None).cast("double").alias("model_score"), *place)
+    return reduce(DataFrame.unionByName, parts, rest)

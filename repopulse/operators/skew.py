@@ -4,9 +4,9 @@ The idea is the same everywhere: count rows per key (few columns, combined map-s
 keys above ``rows_per_split`` and spread each of them over ``rows / rows_per_split`` sub-keys.
 Every other key takes the ordinary join and is not replicated.
 
-The list of split keys is broadcast and never longer than ``MAX_SPLIT_KEYS``: the hottest come
-first, so a key left unsplit has at most ``rows_per_split`` rows or one ``MAX_SPLIT_KEYS``-th of
-all rows. The limit decides how work is spread, never which rows are in the result.
+The list of split keys is broadcast. Its length is bounded by construction, not by a cut: a key is split
+when it has more than ``rows_per_split`` rows and more than one ``MAX_SPLIT_KEYS``-th of all rows, and
+fewer than ``MAX_SPLIT_KEYS`` keys can have that many. Every key above the limit is split.
 """
 
 from collections.abc import Sequence
@@ -41,9 +41,10 @@ def hot_products(facts: DataFrame, dims: DataFrame, keys: Sequence[str],
 
 
 def _hottest(counted: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
-    return (counted.filter(F.col("_n") > rows_per_split)
-            .orderBy(F.desc("_n")).limit(MAX_SPLIT_KEYS)
-            .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias(_SPLITS)))
+    share = counted.select(F.ceil(F.coalesce(F.sum("_n"), F.lit(0)) / MAX_SPLIT_KEYS)).scalar()
+    limit = F.greatest(F.lit(rows_per_split), share)
+    return (counted.filter(F.col("_n") > limit)
+            .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias(_SPLITS)))
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:

@@ -1,7 +1,6 @@
 """Landed archive files -> timeline and repository tables of the lake, loaded day by day."""
 
 import datetime as dt
-import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,17 +8,25 @@ from pyspark.sql import functions as F
 from repopulse import schemas
 from repopulse.functions.dates import months_back
 from repopulse.operators import events as ev
+from repopulse.operators.metrics import AgeBand
 from repopulse.plans import metrics_job
-from repopulse.session import cut_lineage
+from repopulse.session import cut_lineage, shared_path
 from repopulse.sources import files
 
 
+def _merged(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """Written elsewhere first: the table that is replaced is also an input."""
+    return cut_lineage(old.unionByName(new), name)
+
+
 def load_days(raw: DataFrame, lake: str, as_of: dt.date, first_run: dt.date) -> dt.date:
     """Load the whole days after the last loaded one and before ``as_of``; returns the new mark.
 
-    ``created`` is fixed-width text, so the day range is a text comparison that reaches the scan.
-    Partitions are replaced, hence whole half-months of the range are rebuilt from their first day
-    and running the same load again changes nothing.
+    ``raw`` may hold the new days only. ``created`` is fixed-width text, so the day range is a text
+    comparison that reaches the scan; rows without it belong to no day and are rejected in this load.
+    The archive is parsed once and written by outcome. Rows of earlier days in the half-month of the first
+    new day are kept, so are repositories seen before; a load that is repeated after a failure
+    replaces what it wrote. Broken rows go to ``rejects``, a folder for each load.
     """
     spark, mark_path = raw.sparkSession, f"{lake}/last_run"
     last = files.read_mark(spark, mark_path, first_run)
@@ -27,28 +34,40 @@ def load_days(raw: DataFrame, lake: str, as_of: dt.date, first_run: dt.date) ->
     if newest <= last:
         return last
     start = last + dt.timedelta(days=1)
-    start = start.replace(day=1 if start.day <= 15 else 16)
-    new = raw.filter((F.col("created") >= start.isoformat()) & (F.col("created") < as_of.isoformat()))
-    classified = ev.classify_events(new)
-    files.write_timeline(ev.timeline_events(classified), f"{lake}/timeline")
-    found = [ev.new_repositories(classified)]
-    if last > first_run:
-        found.append(spark.read.parquet(f"{lake}/repositories").drop("year"))
-    repos = functools.reduce(DataFrame.unionByName, found)
-    # Written elsewhere first: the table that is replaced here is also an input.
-    files.write_repositories(cut_lineage(ev.dedupe_repositories(repos), "repositories"), f"{lake}/repositories")
+    created = F.col("created")
+    new = raw.filter(ev.blank(created) | ((created >= start.isoformat()) & (created < as_of.isoformat())))
+    path = shared_path(spark, "classified")
+    parsed = ev.classify_events(new)
+    parsed.write.partitionBy("outcome").parquet(path)
+    classified = spark.read.schema(parsed.schema).parquet(path)
+
+    begin = F.lit(start.isoformat()).cast("timestamp_ntz")
+    half = 1 if start.day <= 15 else 2
+    timeline = files.with_half_month(ev.timeline_events(classified), "created_at")
+    old = files.read_partitioned(spark, f"{lake}/timeline", timeline.schema).filter(
+        (F.col("year") == start.year) & (F.col("month") == start.month) & (F.col("half") == half) & (F.col("created_at") < begin))
+    files.write_partitioned(_merged(old, timeline, "timeline"), f"{lake}/timeline", ["year", "month", "half"])
+
+    found = ev.dedupe_repositories(ev.new_repositories(classified)).withColumn("year", F.year("repo_created_at"))
+    known = files.read_partitioned(spark, f"{lake}/repositories", found.schema).filter(F.col("repo_created_at") < begin)
+    fresh = found.join(known.select("repository_owner", "repository_name"), ["repository_owner", "repository_name"], "left_anti")
+    same_years = known.filter(F.col("year").between(start.year, newest.year))
+    files.write_partitioned(_merged(same_years, fresh.select(*known.columns), "repositories"), f"{lake}/repositories", ["year"])
+
+    rejects = ev.rejected_events(classified, raw.columns)
+    rejects.write.mode("overwrite").parquet(f"{lake}/rejects/loaded={newest.isoformat()}")
     files.write_mark(spark, newest, mark_path)
     return newest
 
 
-def run_metrics(spark: SparkSession, lake: str, as_of: dt.datetime, n_months: int,
-                **options) -> metrics_job.MetricsRun:
+def run_metrics(spark: SparkSession, lake: str, as_of: dt.datetime, n_months: int, base_year: int = 2014,
+                years: int = 3, bands: list[AgeBand] | None = None) -> metrics_job.MetricsRun:
     """Recompute the monthly table of the last ``n_months`` months and derive from all months."""
     timeline = files.prune_months(spark.read.parquet(f"{lake}/timeline"), as_of, n_months)
     repos = spark.read.schema(schemas.REPO).parquet(f"{lake}/repositories")
-    fresh = metrics_job.monthly_of(timeline.drop("year", "month", "half"), repos, **options)
+    fresh = metrics_job.monthly_of(timeline.drop("year", "month", "half"), repos, base_year, years)
     files.write_partitioned(fresh, f"{lake}/monthly", ["calendar_month"])
-    return metrics_job.derive(spark.read.parquet(f"{lake}/monthly"))
+    return metrics_job.derive(spark.read.parquet(f"{lake}/monthly"), bands)
 
 
 def months_of(as_of: dt.datetime, n_months: int) -> list[str]:

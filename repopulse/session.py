@@ -1,5 +1,6 @@
 """Where jobs keep data that must outlive an executor."""
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,15 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch folder only where none is named (tests)."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    A scratch folder stands in for it only in local mode, where all tasks are on this machine; elsewhere it is an
+    error not to name one.
+    """
     root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{_CHECKPOINT_DIR} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="repopulse-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

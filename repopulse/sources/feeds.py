@@ -5,25 +5,50 @@ from pyspark.sql import functions as F
 
 from repopulse.functions import text as tx
 
-# --- Fixed values: the two date formats feeds use -------------------------------------------
-DATE_FORMATS = ["dd MMM yyyy HH:mm:ss Z", "dd MMM yyyy HH:mm:ss z"]
+# --- Fixed values: the forms of dates in feeds, after ``_plain_time`` ------------------------
+DATE_FORMATS = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z",
+                "d MMMM yyyy HH:mm:ss Z", "d MMMM yyyy HH:mm:ss z", "MMM d yyyy HH:mm:ss Z", "MMMM d yyyy HH:mm:ss Z",
+                "yyyy-MM-dd HH:mm:ss Z", "yyyy-MM-dd HH:mm:ss z", "yyyy-MM-dd HH:mm Z"]
+# Zone names of RFC 822 with their offsets, whatever the season.
+ZONES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 BOILERPLATE_PATTERNS = {"high_scalablity": " - High Scalability.*}  "}
 ITEM_SCHEMA = "title STRING, description STRING, link STRING, pubDate STRING"
 # -------------------------------------------------------------------------------------------
 
 
+def _plain_time(text):
+    """One spelling for RFC 822 and ISO times: no day name, no ``T``, no fraction, zone as +hhmm, UTC without one."""
+    for old, new in ((r"^\s*[A-Za-z]{3,9}\.?,\s*", ""), (r"^(\d{4}-\d{2}-\d{2})T", "$1 "), (r"(:\d{2})[.,]\d+", "$1"), (r",", " "),
+                     (r"\s*([+-]\d{2}):?(\d{2})\s*$", " $1$2"), (r"(\d)(?:Z| UT| Z)\s*$", "$1 +0000"),
+                     (r"^(\d{4}-\d{2}-\d{2})\s*$", "$1 00:00:00"), (r"(\d{1,2}:\d{2}(?::\d{2})?)\s*$", "$1 +0000"), (r"\s+", " ")):
+        text = F.regexp_replace(text, old, new)
+    for name, offset in ZONES.items():
+        text = F.regexp_replace(text, rf" {name}\s*$", f" {offset}")
+    return F.trim(text)
+
+
 def published_time(text):
-    """RFC 822 time with a numeric or named zone; the day name in front is not needed."""
-    bare = F.regexp_replace(text, "^[A-Za-z]{3}, ", "")
-    return F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in DATE_FORMATS])
+    """RFC 822 and ISO times with a numeric, named or no zone (UTC), as zone-less UTC; NULL for anything else."""
+    bare = _plain_time(text)
+    instant = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in DATE_FORMATS])
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
+def landed_items(spark: SparkSession, path: str) -> DataFrame:
+    """Items of landed RSS files as they are: title, description, link, pubDate."""
+    return spark.read.format("xml").option("rowTag", "item").schema(ITEM_SCHEMA).load(path)
+
+
+def item_posts(items: DataFrame) -> DataFrame:
+    """Posts of landed items: other columns, date_published, title, content without mark-up, link."""
+    rest = [c for c in items.columns if c not in ("title", "description", "link", "pubDate")]
+    return items.select(*rest, published_time(F.col("pubDate")).alias("date_published"), "title",
+                        tx.page_text(F.col("description")).alias("content"), "link")
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Posts of landed RSS files: date_published, title, content, link."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(ITEM_SCHEMA).load(path)
-    return items.select(
-        published_time(F.col("pubDate")).alias("date_published"), "title",
-        F.col("description").alias("content"), "link")
+    return item_posts(landed_items(spark, path))
 
 
 def clean_posts(posts: DataFrame, boilerplate: dict[str, str] | None = None) -> DataFrame:
@@ -51,6 +76,12 @@ def new_marks(posts: DataFrame) -> DataFrame:
     return posts.groupBy("source").agg(F.max("date_published").alias("latest"))
 
 
+def merged_marks(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Marks of all sources: a source without new posts keeps its own."""
+    both = old.select("source", "latest").unionByName(new.select("source", "latest"))
+    return both.groupBy("source").agg(F.max("latest").alias("latest"))
+
+
 def page_texts(pages: DataFrame) -> DataFrame:
     """Visible text of landed pages in stored form."""
     return pages.withColumn("text", tx.clean_feed_text(tx.page_text(F.col("html")))).drop("html")

@@ -17,13 +17,6 @@ CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 # -------------------------------------------------------------------------------------------
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Input in fewer splits than there are cores (a single file, say) is dealt out evenly, so the
-    work on top runs on every core. Large inputs have more splits and are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
              drop_malformed: bool = False, multi_line: bool = False) -> DataFrame:
     """Headered CSV files of one or many folders under a declared schema (no inference pass)."""
@@ -87,6 +80,14 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> No
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A partitioned table under a declared schema; empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def write_timeline(timeline: DataFrame, path: str) -> None:
     write_partitioned(with_half_month(timeline, "created_at"), path, ["year", "month", "half"])
 

@@ -17,7 +17,6 @@ from repopulse.operators import events as ev
 
 # --- Fixed values ---------------------------------------------------------------------------
 MAX_FILES_PER_BATCH = 1_000
-FILE_PATTERNS = {"feeds": "*", "repo_info": "*", "timeline": "*.csv"}
 # -------------------------------------------------------------------------------------------
 
 
@@ -27,6 +26,12 @@ def spooled_lines(spark: SparkSession, spool_dir: str, pattern: str = "*",
             .option("maxFilesPerTrigger", max_files).text(spool_dir))
 
 
+def spooled_lines_by_file(spark: SparkSession, spool_dir: str, pattern: str = "*",
+                          max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
+    """Lines with the name of their file."""
+    return spooled_lines(spark, spool_dir, pattern, max_files).select("value", F.col("_metadata.file_name").alias("file"))
+
+
 def land_lines(spark: SparkSession, spool_dir: str, lake_dir: str, checkpoint: str,
                pattern: str = "*", max_files: int = MAX_FILES_PER_BATCH) -> StreamingQuery:
     """Copy new spooled lines unchanged."""
@@ -38,14 +43,15 @@ def land_with_rejects(lines: DataFrame, is_valid: Column, lake_dir: str,
                       checkpoint: str) -> StreamingQuery:
     """Lines in two lanes, ``lane=valid`` and ``lane=reject``, written in one pass per batch.
 
-    Every batch has its own sub-folder, so a batch that is repeated after a failure replaces its
-    rows instead of adding them again.
+    ``lines`` has ``value`` and ``file`` (``spooled_lines_by_file``). Every file has its own sub-folder, so
+    a batch that is repeated, and a start over with a new checkpoint, replace a file's rows instead of
+    adding them again, and rows of files that have left the spool stay.
     """
     lane = F.when(is_valid, F.lit("valid")).otherwise(F.lit("reject"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("lane", lane).write.mode("overwrite").partitionBy("lane")
-         .text(f"{lake_dir}/batch={batch_id}"))
+        (batch.select("value", "file", lane.alias("lane")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("file", "lane").text(lake_dir))
 
     return (lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

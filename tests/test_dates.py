@@ -54,6 +54,23 @@ def test_months_back_follows_the_25_day_rule():
     assert dates.months_back(T(2016, 6, 5), 2) == ((2016, 4), (2016, 5))
 
 
+def test_months_back_steps_like_a_calendar():
+    def stepped(as_of, n):
+        step, months = dt.date(as_of.year, as_of.month, 1) - dt.timedelta(days=25 * n), []
+        while step <= as_of:
+            months.append((step.year, step.month))
+            after = dt.date(step.year + step.month // 12, step.month % 12 + 1, 1)
+            length = (dt.date(after.year + after.month // 12, after.month % 12 + 1, 1) - after).days
+            step = after.replace(day=min(step.day, length))
+        return months[0], months[-1]
+
+    assert dates.months_back(T(2014, 2, 28), 5) == ((2013, 9), (2014, 2))
+    for day in range(6 * 365 + 1):
+        as_of = dt.date(2014, 1, 1) + dt.timedelta(days=day)
+        for n in range(1, 25):
+            assert dates.months_back(T(as_of.year, as_of.month, as_of.day), n) == stepped(as_of, n), (as_of, n)
+
+
 def test_sql_functions_match_expressions(spark, frame):
     sql.register_sql_functions(spark)
     df = frame("a timestamp_ntz, b timestamp_ntz", [(T(2016, 3, 1, 5), T(2016, 1, 1)), (T(2015, 1, 1), T(2016, 1, 1))])

@@ -33,6 +33,26 @@ def test_days_load_once_and_reruns_change_nothing(spark, tmp_path):
     assert [(r.repo_name, r.month, r.watchers, r.pulls_closed) for r in run.monthly.collect()] == [("r", 1, 3, 1)]
 
 
+def test_new_days_alone_keep_the_old_ones(spark, tmp_path):
+    lake, first = str(tmp_path / "lake"), D(2015, 12, 31)
+    load = lambda data, day: lake_job.load_days(spark.createDataFrame(data, schemas.ARCHIVE), lake, day, first)
+    load([at(2), at(3, "WatchEvent", "{")], D(2016, 1, 4))  # no new repository, one broken row
+    load([at(4, "PublicEvent"), at(5), event("WatchEvent", "{}", "o/r", None)], D(2016, 1, 6))
+    load([at(6, "PublicEvent"), at(17)], D(2016, 1, 18))
+    assert sorted(r.created_at.day for r in spark.read.parquet(f"{lake}/timeline").collect()) == [2, 5, 17]
+    assert rows(spark.read.parquet(f"{lake}/repositories").select("repository_name", "repo_created_at")) == [("r", T(2016, 1, 4, 10))]
+    assert rows(spark.read.parquet(f"{lake}/rejects").select("created", "reason")) == [
+        ("2016-01-03 10:00:00.000000", "bad_json"), (None, "blank_field")]
+
+
+def test_repositories_without_a_model_stay(spark, frame):
+    data = [("o", f"r{i}", "User" if i < 3 else None, T(2014, 1, 1), 2 + i, [0.5]) for i in range(4)]
+    vectors = frame("repo_owner string, repo_name string, user_type string, repo_created_at timestamp_ntz, "
+                    "max_month int, features array<double>", data)
+    assert rows(scoring.score_repositories(vectors, {}).select("repo_name", "model_score", "age_of_project")) == [
+        ("r0", None, 2), ("r1", None, 3), ("r2", None, 4), ("r3", None, 5)]
+
+
 def test_month_names():
     assert lake_job.months_of(T(2016, 1, 31), 2) == ["2015_Nov", "2015_Dec", "2016_Jan"]
 

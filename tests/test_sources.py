@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from repopulse import schemas
+from repopulse.plans import feeds_job
 from repopulse.sources import feeds, files, responses
 
 T = dt.datetime
@@ -77,6 +78,30 @@ def test_feed_dates_and_items(spark, tmp_path):
         ("a", "d & e", T(2016, 5, 12, 16, 6, 22)), ("b", "d & e", T(2016, 6, 2, 14, 41, 39)), ("c", "d & e", None)]
 
 
+def test_feed_dates_in_many_forms(frame):
+    forms = {"Tue, 3 May 2016 06:07:08 +0200": T(2016, 5, 3, 4, 7, 8), "3 May 2016 06:07 GMT": T(2016, 5, 3, 6, 7),
+             "2016-05-03T06:07:08Z": T(2016, 5, 3, 6, 7, 8), "2016-05-03T06:07:08.123+02:00": T(2016, 5, 3, 4, 7, 8),
+             "2016-05-03 06:07:08": T(2016, 5, 3, 6, 7, 8), "2016-05-03": T(2016, 5, 3), "Tuesday, 03 May 2016 06:07:08 EST": T(2016, 5, 3, 11, 7, 8),
+             "03 May 2016 06:07:08": T(2016, 5, 3, 6, 7, 8), "May 3, 2016 06:07:08 +0000": T(2016, 5, 3, 6, 7, 8), "soon": None, "": None}
+    df = frame("t string", [(f,) for f in forms]).select("t", feeds.published_time(F.col("t")).alias("p"))
+    assert {r.t: r.p for r in df.collect()} == forms
+
+
+def test_feed_job_moves_marks_and_keeps_rejects(spark, frame, tmp_path):
+    schema, lake = "source string, title string, description string, link string, pubDate string", str(tmp_path / "lake")
+    item = lambda s, t, d: (s, t, f"<p>{t} &mdash; it&#39;s <b>new</b></p>", "l,1", d)
+    first = [item("a", "one", "2016-05-03T06:07:08Z"), item("b", "x", "1 May 2016 00:00:00 GMT"), item("a", "broken", "soon")]
+    assert feeds_job.load_items(frame(schema, first), lake, {}) == 1
+    second = [first[0], item("a", "two", "2016-05-04"), item("c", "y", "2016-05-01")]
+    assert feeds_job.load_items(frame(schema, second), lake, {}) == 2
+    posts = spark.read.parquet(f"{lake}/posts")
+    assert rows(posts.select("source", "title", "link")) == [("a", "one", "lCOMMA1"), ("a", "two", "lCOMMA1"), ("b", "x", "lCOMMA1"), ("c", "y", "lCOMMA1")]
+    assert posts.filter("title = 'one'").first().content == "one  its new"
+    marks, number = feeds_job.read_marks(spark, lake)
+    assert number == 2 and rows(marks) == [("a", T(2016, 5, 4)), ("b", T(2016, 5, 1)), ("c", T(2016, 5, 1))]
+    assert rows(spark.read.parquet(f"{lake}/rejects").select("title", "pubDate")) == [("broken", "soon")]
+
+
 def test_feed_marks(frame):
     posts = frame("source string, date_published timestamp_ntz", [("a", T(2016, 1, 1)), ("a", T(2016, 1, 2)), ("b", T(2016, 1, 1))])
     new = feeds.newer_posts(posts, frame("source string, latest timestamp_ntz", [("a", T(2016, 1, 1))]))

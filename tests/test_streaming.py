@@ -27,9 +27,19 @@ def test_reject_lane(spark, tmp_path):
     (tmp_path / "spool").mkdir()
     (tmp_path / "spool" / "a").write_text("good,1\nbad\n")
     lake = str(tmp_path / "lake")
-    lines = landing.spooled_lines(spark, str(tmp_path / "spool"))
-    landing.land_with_rejects(lines, F.size(F.split("value", ",")) == 2, lake, str(tmp_path / "mark")).awaitTermination()
-    assert rows(spark.read.text(lake).select("value", "lane")) == [("bad", "reject"), ("good,1", "valid")]
+    valid = F.size(F.split("value", ",")) == 2
+
+    def land(mark):
+        lines = landing.spooled_lines_by_file(spark, str(tmp_path / "spool"))
+        landing.land_with_rejects(lines, valid, lake, str(tmp_path / mark)).awaitTermination()
+        return rows(spark.read.text(lake).select("value", "lane"))
+
+    assert land("mark") == [("bad", "reject"), ("good,1", "valid")]
+    (tmp_path / "spool" / "b").write_text("more,2\n")
+    every = [("bad", "reject"), ("good,1", "valid"), ("more,2", "valid")]
+    assert land("mark") == every
+    (tmp_path / "spool" / "a").unlink()
+    assert land("fresh") == every  # starting over repeats nothing and loses nothing
 
 
 def test_stream_equals_batch(spark, tmp_path):
