@@ -11,8 +11,8 @@ least 85 %; a document's group is its connected component.
    goes on while the posterior probability that its similarity reaches the threshold (uniform prior,
    a Beta(c + 1, m - c + 1)) is at least ``miss``. Survivors are decided on the full shingle sets.
 4. Buckets whose nodes are still in different components are compared across components, in blocks of
-   bounded size, by the same test; the survivors are decided on full sets. So no link is left out for want of
-   a partner, and inside a component nothing is compared twice.
+   bounded size, by the same test; survivors are decided on full sets in the same task, and only links come
+   out. So no link is left out for want of a partner, and no list of pairs is made.
 5. Components by alternating large-star and small-star steps over node numbers.
 
 With 25 bands of 5 values a pair at 85 % meets in no band with probability 4e-7; ``miss`` adds 1e-6 a
@@ -42,7 +42,7 @@ BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
 BATCH = 25  # signature values compared before each look at the posterior
 MISS = 1e-6
-MEMBERS = 256  # nodes of a bucket compared in one block
+MEMBERS, BLOCK_SHINGLES = 256, 500_000  # nodes and shingles of a bucket in one block
 
 _RANDOM = np.random.default_rng(85)
 _FACTOR = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,7 +122,7 @@ def _matrix(column, dtype=np.uint32) -> np.ndarray:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """(band, node): one row for each of a node's bands."""
+    """(band, node, n_shingles): one row for each of a node's bands."""
 
     def run(batches):
         for batch in batches:
@@ -133,9 +133,11 @@ def band_rows(nodes: DataFrame) -> DataFrame:
                     bands = bands * np.uint64(0xD6E8FEB86659FD93) + signature[:, k::ROWS]
                 bands = mix(bands + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3)
                 node = np.repeat(np.asarray(batch.column(0)), BANDS)
-                yield pa.record_batch([pa.array(bands.ravel().view(np.int64)), pa.array(node)], names=["band", "node"])
+                size = np.repeat(np.asarray(batch.column(2)), BANDS)
+                yield pa.record_batch([pa.array(bands.ravel().view(np.int64)), pa.array(node), pa.array(size)],
+                                      names=["band", "node", "n_shingles"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "band long, node long")
+    return nodes.select("node", "signature", "n_shingles").mapInArrow(run, "band long, node long, n_shingles long")
 
 
 def least_matches(compared: int, miss: float = MISS, percent: int = PERCENT) -> int:
@@ -238,45 +240,68 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, miss: float = MISS) -> DataFrame:
-    """Likely pairs of nodes that share a bucket and are in different components.
+def _links_in_block(own, component, size, signature, grams, miss):
+    """Links between nodes of different components: each node of the left block against the right.
 
-    members: (band, node, component) of buckets with several components. Buckets with the same nodes
-    are compared once. A large bucket is cut into blocks, and each pair of blocks is a task's key of its own.
+    Nodes that links of this block already join are not compared again, so at most one link a node comes out.
     """
-    shape = members.groupBy("band").agg(F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"),
+    left, right = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+    _, label = np.unique(component, return_inverse=True)
+    sets = [np.frombuffer(g, np.uint64) for g in grams]
+    lengths = np.array([len(x) for x in sets])
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    names, number = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros(len(names), bool)
+    out = []
+    for x in left.tolist():
+        y = right[(right > x) | (own[right] != own[x])]
+        y = y[label[y] != label[x]]
+        y = y[100 * np.minimum(size[y], size[x]) >= PERCENT * np.maximum(size[y], size[x])]
+        if len(y):
+            y = y[_survives(np.broadcast_to(signature[x], (len(y), HASHES)), signature[y], miss)]
+        if not len(y):
+            continue
+        held[number[first[x] : first[x + 1]]] = True
+        bounds = np.cumsum(lengths[y]) - lengths[y]
+        both = np.add.reduceat(held[np.concatenate([number[first[i] : first[i + 1]] for i in y.tolist()])].astype(np.int64), bounds)
+        held[number[first[x] : first[x + 1]]] = False
+        for i in y[100 * both >= PERCENT * (lengths[x] + lengths[y] - both)].tolist():
+            if label[i] != label[x]:
+                out.append((x, i))
+                label[label == label[i]] = label[x]
+    return out
+
+
+def cross_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, miss: float = MISS) -> DataFrame:
+    """Links (a, b) between nodes that share a bucket and are in different components.
+
+    members: (band, node, n_shingles, component) of buckets with several components. Buckets with the same nodes
+    are compared once. A large bucket is cut into blocks of about MEMBERS nodes and BLOCK_SHINGLES shingles, and
+    each pair of blocks is a key of its own; signatures and full sets meet there, and links alone come out.
+    """
+    shape = members.groupBy("band").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"),
+                                        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"),
                                         F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("s2"))
-    chosen = shape.groupBy("size", "s1", "s2").agg(F.min("band").alias("band"))
-    blocks = F.ceil(F.col("size") / MEMBERS).cast("int")
+    chosen = shape.groupBy("size", "shingles", "s1", "s2").agg(F.min("band").alias("band"))
+    blocks = F.greatest(F.ceil(F.col("size") / MEMBERS), F.least(F.col("size"), F.ceil(F.col("shingles") / BLOCK_SHINGLES))).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int")
     dealt = (members.join(chosen.select("band", blocks.alias("blocks")), "band").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component"))
-    side = nodes.select("node", "n_shingles", "signature")
+    side = nodes.select("node", "n_shingles", "signature").join(sets, "node")
     dealt = dealt.join(side, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
-    def compare(own, node, component, size, signature):
-        """Each node of the left block against all of the right, component by component."""
-        left = np.flatnonzero(own == own.min())
-        right = np.flatnonzero(own == own.max())
-        out = []
-        for x in left.tolist():
-            y = right[(right > x) | (own[right] != own[x])]
-            y = y[component[y] != component[x]]
-            y = y[100 * np.minimum(size[y], size[x]) >= PERCENT * np.maximum(size[y], size[x])]
-            if len(y):
-                y = y[_survives(np.broadcast_to(signature[x], (len(y), HASHES)), signature[y], miss)]
-                out.extend((int(node[x]), int(z)) for z in node[y])
-        return out
-
     def run(batches):
         now, held = None, []
 
         def flush():
-            columns = list(zip(*held, strict=True))
-            signature = np.frombuffer(b"".join(columns[4]), np.uint32).reshape(len(held), HASHES)
-            found = compare(*[np.array(c) for c in columns[:4]], signature) if len(held) > 1 else []
-            return pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+            own, node, component, size, signature, grams = zip(*held, strict=True)
+            found = []
+            if len(set(component)) > 1:
+                found = _links_in_block(np.array(own), np.array(component), np.array(size),
+                                        np.frombuffer(b"".join(signature), np.uint32).reshape(len(held), HASHES), grams, miss)
+            return pa.record_batch([pa.array([node[x] for x, _ in found], pa.int64()), pa.array([node[y] for _, y in found], pa.int64())],
+                                   names=["a", "b"])
 
         for batch in batches:
             for band, i, j, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -288,7 +313,7 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, miss: float = MISS) -> Dat
         if held:
             yield flush()
 
-    return dealt.select("band", "i", "j", "own", "node", "component", "n_shingles", "signature").mapInArrow(run, "a long, b long")
+    return dealt.select("band", "i", "j", "own", "node", "component", "n_shingles", "signature", "grams").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
@@ -309,15 +334,12 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     stars = _ordered(members.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")))
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "rep", "mark")
     sets = cut_lineage(candidate_sets(docs, wanted), "near-sets")
-    tested = cut_lineage(likely_pairs(stars, nodes, miss), "near-tested")
-    links = cut_lineage(true_links(tested, sets), "near-links")
+    links = cut_lineage(true_links(likely_pairs(stars, nodes, miss), sets), "near-links")
     first = cut_lineage(components(links), "near-first")
 
-    placed = members.select("band", "node").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = members.select("band", "node", "n_shingles").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
-    rest = _ordered(cross_pairs(cut_lineage(placed.join(open_bands, "band"), "near-open"), nodes, miss))
-    rest = rest.join(tested, ["a", "b"], "left_anti")
-    more = cut_lineage(true_links(rest, sets), "near-more")
+    more = cut_lineage(cross_links(cut_lineage(placed.join(open_bands, "band"), "near-open"), nodes, sets, miss), "near-more")
     final = first if more.isEmpty() else components(links.unionByName(more))
 
     whole = nodes.select("node", "set_key", "rep").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
