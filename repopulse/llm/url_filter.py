@@ -2,8 +2,8 @@
 
 Names in a host often run together. A unigram Viterbi search splits every label into the most probable words:
 dictionary words have their share of the counts, any other run of letters a penalty that grows with its
-length. Words are counted in the table itself (parts of hosts and paths that are already apart, each once per
-host and path) on top of a fixed list of words.
+length. Words are counted in the table itself (parts of hosts and paths that are already apart, by the number
+of sites that have them) on top of a fixed list of words.
 
 A multinomial naive Bayes then weighs the words. The allow class has the table's words and those of ``ORDINARY``; the
 block class has the words of ``BLOCKED`` and, lighter, ``HINTS``, mixed with the allow class's. A page is blocked when the
@@ -138,11 +138,17 @@ def blocked_words() -> dict[str, int]:
 
 
 def count_words(pages: DataFrame, most: int = DICTIONARY) -> dict[str, int]:
-    """How many different (host, path) pairs have each word that stands apart; the ``most`` frequent ones."""
+    """On how many different sites each word stands apart, for words of two sites or more; the ``most`` frequent ones.
+
+    A site is the longest label of a host, so a run-together name does not become a word by its own pages.
+    """
     host, path = host_and_path(F.col("url"))
-    distinct = pages.select(host.alias("host"), path.alias("path")).distinct()
-    words = distinct.select(F.explode(F.array_distinct(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z0-9]+"))).alias("word"))
-    counts = words.where(F.length("word").between(2, LONGEST) & ~F.col("word").rlike("^[0-9]+$")).groupBy("word").count()
+    site = F.aggregate(F.split("host", "\\."), F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+    distinct = pages.select(host.alias("host"), F.lower(path).alias("path")).distinct()
+    parts = F.array_distinct(F.split(F.concat_ws("/", "host", "path"), "[^a-z0-9]+"))
+    words = distinct.select(site.alias("site"), F.explode(parts).alias("word")).where(
+        F.length("word").between(2, LONGEST) & ~F.col("word").rlike("^[0-9]+$")).distinct()
+    counts = words.groupBy("word").count().where("count > 1")
     return {r["word"]: r["count"] for r in counts.orderBy(F.desc("count"), "word").limit(most).collect()}
 
 
