@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
+from repopulse.session import clean_up
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -66,6 +67,7 @@ def main() -> int:
             outcome = f"FAIL {type(error).__name__}: {str(error)[:600]}"
         failed += outcome.startswith("FAIL")
         print(f"{name:28s} {time.time() - start:6.2f}s {outcome}", flush=True)
+    clean_up(spark)
     print(f"{len(names) - failed} of {len(names)} good")
     return 1 if failed else 0
 

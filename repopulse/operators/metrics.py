@@ -51,17 +51,17 @@ AGE_BANDS = [AgeBand(13, None, 15, 15), AgeBand(2, 12, 10, 10), AgeBand(1, 1, 5,
 
 
 def join_repository(timeline: DataFrame, repo: DataFrame, base_year: int = 2014, years: int = 3,
-                    rows_per_split: int = skew.ROWS_PER_SPLIT, keep_split: bool = False) -> DataFrame:
+                    rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """Timeline rows with project month, cohort and response hours.
 
-    Rows of a very active repository are spread by actor, so no join task holds all of them and
-    distinct actors stay countable per sub-key.
+    Rows of a very active repository are spread one by one, so no join task holds all of them, not even
+    when a single actor made them.
     """
     keys = ["repository_owner", "repository_name"]
     dims = repo.select(*keys, "repo_created_at", "user_type")
     joined = skew.split_join(
-        timeline.drop("user_type"), dims, keys, ["actor_login"],
-        skew.hot_keys(timeline, keys, rows_per_split), keep_split=keep_split)
+        timeline.drop("user_type"), dims, keys, ["actor_login", "created_at", "event", "event_number"],
+        skew.hot_keys(timeline, keys, rows_per_split))
     columns = [
         F.col("repository_owner").alias("repo_owner"),
         F.col("repository_name").alias("repo_name"),
@@ -72,8 +72,6 @@ def join_repository(timeline: DataFrame, repo: DataFrame, base_year: int = 2014,
         elapsed_units(F.col("event_closed_at"), F.col("event_created_at"), "Hour").alias("response_time"),
         "repo_created_at", "user_type",
     ]
-    if keep_split:
-        columns.append(skew.SPLIT_COLUMN)
     return joined.select(*columns)
 
 
@@ -96,29 +94,28 @@ def monthly_metrics(timeline: DataFrame, repo: DataFrame, base_year: int = 2014,
                     rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """16 metrics per repository, project month and calendar month of the events.
 
-    Aggregated per sub-key first (same partitioning as the join, no extra shuffle): an actor has
-    one sub-key per repository, so distinct contributors add up exactly in the second step.
+    Aggregated per contributor first and then over contributors, so distinct contributors are counted by
+    plain sums. Both steps combine before they shuffle: one actor's million events are one row a task.
     """
-    rows = join_repository(timeline, repo, base_year, years, rows_per_split, keep_split=True)
+    rows = join_repository(timeline, repo, base_year, years, rows_per_split)
     keys = [*REPO_KEY, "user_type", "month", "first_day"]
     # Only numbers and dates are aggregated (the cohort text is derived afterwards), which keeps
     # every step a hash aggregate.
     partial = (
         rows.filter(F.col("month") > 0)
         .withColumn("first_day", F.trunc("created_at", "MM"))
-        .groupBy(*keys, skew.SPLIT_COLUMN)
+        .groupBy(*keys, contributor().alias("who"))
         .agg(F.min("repo_created_at").alias("repo_created_at"),
              *[_event_count(m).alias(m) for m in COUNT_METRICS],
              *[F.sum(_answered(m)).alias(f"{m}_sum") for m in MEAN_METRICS],
-             *[F.count(_answered(m)).alias(f"{m}_n") for m in MEAN_METRICS],
-             F.count_distinct(contributor()).alias("contributors"))
+             *[F.count(_answered(m)).alias(f"{m}_n") for m in MEAN_METRICS])
     )
     merged = partial.groupBy(*keys).agg(
         F.min("repo_created_at").alias("repo_created_at"),
         *[F.sum(m).alias(m) for m in COUNT_METRICS],
         *[F.try_divide(F.sum(f"{m}_sum").cast("double"), F.sum(f"{m}_n")).alias(m)
           for m in MEAN_METRICS],
-        F.sum("contributors").alias("contributors"))
+        F.count("who").alias("contributors"))
     return merged.select(
         *REPO_KEY, "user_type", "month", F.date_format("first_day", "yyyy_MM").alias("calendar_month"),
         cohort_index(F.col("repo_created_at"), base_year, years).alias("repo_index"),

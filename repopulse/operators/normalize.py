@@ -23,7 +23,7 @@ def forward_fill(df: DataFrame, columns: Sequence[str] = METRICS) -> DataFrame:
 
 
 def _bucket(value: Column) -> Column:
-    """Order-preserving coarse bucket: at most some ten thousand over the whole double range."""
+    """Order-preserving coarse bucket: about a million a sign over the whole double range, whatever the rows."""
     return F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * _BUCKETS_PER_DOUBLING)
 
 

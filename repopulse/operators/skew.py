@@ -62,7 +62,7 @@ def replicate_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def split_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-               hot: DataFrame, how: str = "inner", keep_split: bool = False,
+               hot: DataFrame, how: str = "inner",
                strategy: str | None = None) -> DataFrame:
     """Equi-join of a large, possibly skewed side with a side that has few rows per key.
 
@@ -72,8 +72,4 @@ def split_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], spread_by
     right = replicate_hot(dims, hot, keys)
     if strategy:
         right = right.hint(strategy)
-    joined = split_hot(facts, hot, keys, spread_by).join(right, [*keys, _SPLIT], how)
-    return joined if keep_split else joined.drop(_SPLIT)
-
-
-SPLIT_COLUMN = _SPLIT
+    return split_hot(facts, hot, keys, spread_by).join(right, [*keys, _SPLIT], how).drop(_SPLIT)

@@ -26,7 +26,17 @@ def shared_root(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, so reruns never meet older files."""
-    return f"{shared_root(spark)}/repopulse/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/repopulse/{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; call it when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from repopulse.operators import features, metrics, normalize, repositories
+from repopulse import schemas
+from repopulse.operators import features, metrics, normalize, repositories, skew
 from repopulse.schemas import COUNT_METRICS, MEAN_METRICS, METRICS, REPO, SCORED_METRICS, TIMELINE
 
 T = dt.datetime
@@ -134,3 +135,20 @@ def test_project_details(frame):
 def test_age_split_boundary_is_old(frame):
     df = frame("created_at string", [("2015-01-01",), ("2015-01-02",), (None,)])
     assert [r.is_young for r in repositories.age_split(df, dt.date(2016, 6, 5)).collect()] == [False, True, False]
+
+
+def test_one_actor_holding_a_repository_is_spread(spark):
+    raw = [("o", "r", "bot" if i % 10 else f"u{i}", T(2014, 7, 1, i % 24, i % 60), "IssuesEvent", "opened", str(i), None, None, None) for i in range(300)]
+    timeline = spark.createDataFrame(raw, schemas.TIMELINE)
+    keys = ["repository_owner", "repository_name"]
+    hot = skew.hot_keys(timeline, keys, 10)
+    sizes = [r["count"] for r in skew.split_hot(timeline, hot, keys, ["actor_login", "created_at", "event", "event_number"]).groupBy("_split").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 40
+    repo = spark.createDataFrame([("o", "r", T(2014, 6, 20), "User")], schemas.REPO)
+    got = metrics.monthly_metrics(timeline, repo, rows_per_split=10).first()
+    assert (got.issues_opened, got.contributors) == (300, 31)
+
+
+def test_every_key_above_the_limit_is_split(frame):
+    df = frame("k long", [(k,) for k in range(50) for _ in range(20)])
+    assert skew.hot_keys(df, ["k"], 5).count() == 50
