@@ -348,6 +348,9 @@ SELECT event_id, type, event_action FROM (
          WHEN (body->>'action') IN ('opened', 'reopened') THEN 'opened' WHEN (body->>'action') = 'closed' THEN 'closed' END AS event_action
   FROM @parsed) x WHERE event_action IS NOT NULL""",
     "normalize_events": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
+    "lake_load": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
+    "lake_rejects": "SELECT event_id, reason FROM @classified WHERE outcome = 'rejected'",
+    "feed_load": f"SELECT source, doc_id, {_s('date_published')} FROM @f_posts WHERE date_published IS NOT NULL",
     "stream_normalize": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
     "new_repos": f"SELECT repository_owner, repository_name, {_s('repo_created_at')}, user_type FROM @new_repo_rows",
     "rejected_events": "SELECT event_id, reason FROM @classified WHERE outcome = 'rejected'",

@@ -15,7 +15,7 @@ from repopulse.operators import contributors as co
 from repopulse.operators import events as ev
 from repopulse.operators import features, keywords, mentions, metrics, normalize, ranking, repositories, scoring
 from repopulse.operators.metrics import AgeBand
-from repopulse.plans import graphs_job, metrics_job, posts_job
+from repopulse.plans import feeds_job, graphs_job, lake_job, metrics_job, posts_job
 from repopulse.schemas import METRICS, REPO_KEY
 from repopulse.session import cut_lineage, shared_path
 from repopulse.sources import feeds, files, responses
@@ -251,6 +251,37 @@ def rejected_events(t):
     return ev.rejected_events(ev.classify_events(t["f_archive"]), ["event_id"])
 
 
+def _loaded_lake(t):
+    """The archive loaded in three calls that each see the new days only; undated rows come first."""
+    lake, raw = _path(t, "lake"), t["f_archive"]
+    cuts = [dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 2, 1)]
+    for low, high in zip([None, *cuts], cuts, strict=False):
+        since = F.lit(True) if low is None else F.col("created") >= low.isoformat()
+        undated = F.col("created").isNull() if low is None else F.lit(False)
+        lake_job.load_days(raw.filter(undated | (since & (F.col("created") < high.isoformat()))), lake, high, dt.date(2023, 12, 31))
+    return lake
+
+
+@query
+def lake_load(t):
+    return t.spark.read.parquet(f"{_loaded_lake(t)}/timeline").select(*schemas.TIMELINE.fieldNames())
+
+
+@query
+def lake_rejects(t):
+    return t.spark.read.parquet(f"{_loaded_lake(t)}/rejects").select("event_id", "reason")
+
+
+@query
+def feed_load(t):
+    lake = _path(t, "feeds")
+    stamp = F.date_format("date_published", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    items = t["f_posts"].select("source", "doc_id", "title", F.col("content").alias("description"), "link", stamp.alias("pubDate"))
+    feeds_job.load_items(items.filter(F.col("pubDate") < "2016-01-01"), lake)
+    feeds_job.load_items(items, lake)
+    return t.spark.read.parquet(f"{lake}/posts").select("source", "doc_id", "date_published")
+
+
 @query
 def dedupe_repos(t):
     return ev.dedupe_repositories(ev.new_repositories(ev.classify_events(t["f_archive"])))

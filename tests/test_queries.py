@@ -27,7 +27,8 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.parametrize("name", ["monthly_metrics", "normalized_metrics", "tfidf", "name_mentions", "mention_graph",
-                                  "contributor_graph", "first_seen", "cooccurrence", "normalize_events"])
+                                  "contributor_graph", "first_seen", "cooccurrence", "normalize_events", "trailing_scores",
+                                  "shared_contributor_pairs", "word_pairs"])
 def test_plans_stay_in_the_jvm_without_cross_products(spark, capsys, name):
     QUERIES[name](spark, SF).explain("formatted")
     plan = capsys.readouterr().out
