@@ -30,6 +30,7 @@ CONTENT_SHARE = 0.5
 #: Bound of the fit: so many documents of each label, so many characters and lines each.
 FIT_DOCS, FIT_CHARS, FIT_LINES = 1500, 20_000, 200
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+SLICE = 1 << 20  # bytes of text described at once, with a dozen running sums over them
 
 #: Steps of the shares a line is described by.
 _SHARE = np.array([1e-9, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7])
@@ -199,7 +200,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, max
     """The field, fitted on a bounded sample of the rows with a quality label."""
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             _, bounds, columns, _ = describe(*text_buffer(batch.column(0)))
             rows = [columns[bounds[i] : bounds[i + 1]].tobytes() for i in range(batch.num_rows)]
             yield pa.record_batch([pa.array(rows, pa.binary()), batch.column(1)], names=["columns", "y"])
@@ -219,7 +220,7 @@ def _judged(docs: DataFrame, field: LineField, keep: list[int], share: float) ->
     """The columns of docs at the places ``keep`` as _0, _1, ..., then counts, content share and verdict."""
 
     def run(batches):
-        for batch in slices(batches, text="_text"):
+        for batch in slices(batches, SLICE, text="_text"):
             counts, bounds, columns, size = describe(*text_buffer(batch.column(batch.num_columns - 1)))
             marks = field.decode(columns, bounds)
             total = np.add.reduceat(size, bounds[:-1])

@@ -27,7 +27,7 @@ from repopulse.llm.ship import ship
 from repopulse.session import cut_lineage
 
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
-BUCKET_ROWS, FAN_IN = 20_000, 1_024
+BUCKET_ROWS, FAN_IN = 2_000, 1_024
 #: Sources up to this number are broadcast; more are joined by shuffle.
 FEW_SOURCES = 10_000
 

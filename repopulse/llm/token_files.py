@@ -25,6 +25,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ class WordEncoder:
     """Ids of single words; loaded once in a process, with a bounded memory of words."""
 
     _loaded: dict[str, WordEncoder] = {}
-    REMEMBER = 300_000
+    WORDS, PIECES = 100_000, 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,8 +60,8 @@ class WordEncoder:
         known = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
         self.plain = known in json.dumps(rules["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
         self.size = self.tokenizer.get_vocab_size()
-        self.words: dict[bytes, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str) -> WordEncoder:
@@ -68,10 +69,11 @@ class WordEncoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def of(self, words: list[bytes]) -> list[list[int]]:
-        if len(self.words) > self.REMEMBER:
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as unsigned 32-bit integers, packed."""
+        if len(self.words) > self.WORDS:
             self.words.clear()
-        if len(self.pieces) > self.REMEMBER:
+        if len(self.pieces) > self.PIECES:
             self.pieces.clear()
         known, pieces = self.words, self.pieces
         hard = []
@@ -79,18 +81,18 @@ class WordEncoder:
             if word in known:
                 continue
             if self.plain and _PLAIN.fullmatch(word) and b"<|" not in word:
-                ids = []
+                ids = b""
                 for piece in _PIECES.findall(word.decode("ascii").lower()):
                     own = pieces.get(piece)
                     if own is None:
-                        own = pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
+                        own = pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
                     ids += own
                 known[word] = ids
             else:
                 hard.append(word)
         if hard:
             for word, made in zip(hard, self.tokenizer.encode_batch([w.decode() for w in hard], add_special_tokens=False), strict=True):
-                known[word] = made.ids
+                known[word] = array("I", made.ids).tobytes()
         return [known[w] for w in words]
 
 
@@ -101,8 +103,8 @@ def encode_texts(column, encoder: WordEncoder, end: int = END) -> tuple[np.ndarr
     keys, place, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
     raw = data.tobytes()
     made = encoder.of([raw[a:b] for a, b in zip(words.start[place].tolist(), words.end[place].tolist(), strict=True)])
-    sizes = np.array([len(m) for m in made], np.int64)
-    flat = np.array([i for m in made for i in m], np.uint32)
+    sizes = np.array([len(m) for m in made], np.int64) // 4
+    flat = np.frombuffer(b"".join(made), np.uint32)
     begin = np.cumsum(sizes) - sizes
     each = sizes[inverse]
     ahead = np.concatenate([[0], np.cumsum(each)])

@@ -163,10 +163,12 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20, text: st
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))
+        offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))[1]
         low = 0
         while low < batch.num_rows:
             high = int(np.searchsorted(offsets, offsets[low] + max_bytes, "right")) - 1
             high = min(max(high, low + 1), batch.num_rows)
             yield batch.slice(low, high - low)
             low = high
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker keeps no more than it needs
