@@ -26,7 +26,7 @@ BLOCK_BYTES = 4 << 20
 NO_ID = -(1 << 63)
 
 _BLOCK = "block long, payload binary"
-_MAIL = "bucket int, block long, payload binary"
+MAIL = "bucket int, block long, payload binary"
 
 
 def encode(arrays: list[np.ndarray], level: int = 1) -> bytes:
@@ -122,7 +122,7 @@ def mail(blocks: DataFrame, ask: Callable[..., list[np.ndarray]], buckets: int)
         for b in np.flatnonzero(np.diff(bounds)):
             yield int(b), block, encode([c[bounds[b] : bounds[b + 1]] for c in columns])
 
-    return _per_block(blocks, send, _MAIL)
+    return _per_block(blocks, send, MAIL)
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -132,6 +132,11 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
 
 
+def row(bucket: int, block: int, payload: bytes) -> pa.RecordBatch:
+    """One record of ``MAIL``."""
+    return _rows(_SCHEMA, [(bucket, block, payload)])
+
+
 def _answers(cell) -> list:
     return [decode(x.as_buffer()) if x.is_valid else None for x in cell]
 
@@ -183,7 +188,7 @@ def answer(letters: DataFrame, reply: Callable[..., tuple[list[np.ndarray], list
         if totals:
             yield _rows(_SCHEMA, [(bucket[0], -1, encode(totals))])
 
-    return letters.repartitionById(buckets, "bucket").mapInArrow(run, _MAIL)
+    return letters.repartitionById(buckets, "bucket").mapInArrow(run, MAIL)
 
 
 def deliver(blocks: DataFrame, *replies: DataFrame) -> DataFrame:

@@ -295,3 +295,19 @@ def test_native_formatting_has_no_python(spark, capsys):
 
 def test_sha_of_kept_words(spark):
     assert spark.range(1).select(F.sha2(F.lit("a é"), 256)).first()[0] == hashlib.sha256("a é".encode()).hexdigest()
+
+
+def test_lm_learns_from_every_training_document(spark):
+    """No window is drawn for the start, so only the pass over all documents can teach; each part has words of its own."""
+    texts = [" ".join(f"{a} {b}" for _ in range(200)) for a, b in (("red", "house"), ("green", "river"), ("blue", "window"), ("black", "garden"))]
+    docs = spark.createDataFrame([(i, texts[i % 4]) for i in range(40)], "doc_id long, text string").repartitionByRange(4, "doc_id")
+    source = lm_scoring.default_subwords()
+    subwords = lm_scoring.Subwords.load(*source)
+    packed = lm_scoring.cut_lineage(lm_scoring.B.pack(lm_scoring.ship(spark) and docs), "lm-test")
+    histogram = np.bincount(subwords.of(" ".join(texts).encode().split())[0], minlength=len(subwords.tokens)) * 8
+    model = lm_scoring.train_model(packed, histogram, source, 7, 2, fit_windows=0)
+    start = lm_scoring.attention.AttentionLM(histogram, subwords.tokens, subwords.end)
+    for text in texts:
+        ids = subwords.of(text.encode().split())[0]
+        x, y, valid, begin, _ = lm_scoring.attention.windows(ids, np.array([0, len(ids)]), subwords.end)
+        assert model.log_probs(x, y, valid, begin).mean() > start.log_probs(x, y, valid, begin).mean() + 0.01
