@@ -3,7 +3,8 @@
 A document is contaminated by a benchmark item of n words if some part of it is within ``RATE`` * n word edits
 (insert, delete, replace) of the item; words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z).
 
-For every item length n, windows of n words are taken at every word of every document.
+For every item length n, windows of n words are taken at every word of every document that has n - k words of its text
+after it; a window that reaches the text's end is cut there and counts as padded.
 
 1. Screen. k edits change at most 2k of an item's word pairs, so a window must have n - 1 - 2k pairs that the
    benchmark has, too; a running count tells. This drops no match.
@@ -89,11 +90,13 @@ class ItemBlock:
             order = np.argsort(keys.ravel(), kind="stable")
             self.tables[n] = keys.ravel()[order], number[order]
 
-    def keys(self, words: np.ndarray, starts: np.ndarray, n: int, bits: dict | None = None) -> np.ndarray:
+    def keys(self, words: np.ndarray, starts: np.ndarray, n: int, bits: dict | None = None, room: np.ndarray | None = None) -> np.ndarray:
         """Keys of the n-word windows at ``starts``: one row a window, one column for each sample of each walk.
 
-        ``bits`` keeps the random bits of ``words`` between calls; they don't depend on n.
+        ``bits`` keeps the random bits of ``words`` between calls; they don't depend on n. ``room``: the words of each window,
+        fewer than n where its text ends.
         """
+        room = n if room is None else room
         out, bits = [], {} if bits is None else bits
         for walk in range(self.walks):
             rng = np.random.default_rng([n, walk])
@@ -104,7 +107,7 @@ class ItemBlock:
                 part = (walk, j // 64)
                 if part not in bits:
                     bits[part] = mix(words, 7000 + 64 * walk + j // 64)
-                inside = pointer < n
+                inside = pointer < room
                 at = np.where(inside, starts + pointer, 0)
                 if j in wanted:
                     written[j] = np.where(inside, words[at], _PAD)
@@ -132,14 +135,15 @@ class ItemBlock:
                     other.insert(at, new)
                 elif len(other) > 1:
                     del other[at]
-            other = np.array((other + rng.integers(1, 1 << 62, n, dtype=np.uint64).tolist())[:n], np.uint64)
-            start = np.zeros(1, np.int64)
-            found += bool((self.keys(item, start, n) == self.keys(other, start, n)).any())
-            tried += 1
+            start, own = np.zeros(1, np.int64), len(other)
+            for room in {n, min(own, n)}:  # text goes on, text ends
+                near = np.array((other + rng.integers(1, 1 << 62, n, dtype=np.uint64).tolist())[:n], np.uint64)
+                found += bool((self.keys(item, start, n) == self.keys(near, start, n, room=np.array([room]))).any())
+                tried += 1
         return found / tried if tried else 1.0
 
-    def screened(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """For every item length the first words of windows that can match."""
+    def screened(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For every item length the first words of windows that can match, and where each window ends."""
         n_words = len(hashes)
         if n_words == 0:
             return
@@ -153,29 +157,32 @@ class ItemBlock:
         total = np.concatenate([[0], np.cumsum(hit)])
         word = np.arange(n_words)
         for n in self.by_length:
-            if n > n_words:
+            k = edits(n, self.rate)
+            if n - k > n_words:
                 continue
             if n == 1:
-                yield n, np.flatnonzero(np.isin(hashes, self.singles))
+                start = np.flatnonzero(np.isin(hashes, self.singles))
+                yield n, start, start + 1
                 continue
-            need = n - 1 - 2 * edits(n, self.rate)
-            start = np.flatnonzero(total[n - 1 :] - total[: len(total) - n + 1] >= need) if need > 0 else word[: n_words - n + 1]
-            yield n, start[start + n <= after[start]]
+            start = word[: n_words - max(n - k, 1) + 1]
+            end = np.minimum(start + n, after[: len(start)])
+            fits = (end - start >= n - k) & (total[end - 1] - total[start] >= n - 1 - 2 * k)
+            yield n, start[fits], end[fits]
 
     def matches(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, words, distance) of all matches, the best one of each region."""
         regions, left = defaultdict(list), list(self.screened(hashes, first))
         edge = np.zeros(len(hashes) + 1, np.int64)
-        for n, starts in left:
+        for _, starts, ends in left:
             np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + n, -1)
+            np.add.at(edge, ends, -1)
         covered = np.cumsum(edge[:-1]) > 0  # only the words of these windows are walked over
         near, rank, bits = hashes[covered], np.cumsum(covered) - 1, {}
-        for n, starts in left:
+        for n, starts, ends in left:
             table, number = self.tables[n]
             for low in range(0, len(starts), 50_000):
                 part = starts[low : low + 50_000]
-                keys = self.keys(near, rank[part], n, bits)
+                keys = self.keys(near, rank[part], n, bits, ends[low : low + 50_000] - part)
                 a, b = np.searchsorted(table, keys, "left"), np.searchsorted(table, keys, "right")
                 row, column = np.nonzero(b > a)
                 for r, c in zip(row.tolist(), column.tolist(), strict=True):

@@ -311,3 +311,32 @@ def test_lm_learns_from_every_training_document(spark):
         ids = subwords.of(text.encode().split())[0]
         x, y, valid, begin, _ = lm_scoring.attention.windows(ids, np.array([0, len(ids)]), subwords.end)
         assert model.log_probs(x, y, valid, begin).mean() > start.log_probs(x, y, valid, begin).mean() + 0.01
+
+
+def _edited(rng, item, kind, k):
+    other = list(item)
+    for _ in range(k):
+        at = int(rng.integers(0, len(other)))
+        what = ("replace", "insert", "delete")[rng.integers(0, 3)] if kind == "mixed" else kind
+        if what == "delete":
+            del other[at]
+        else:
+            other[at : at + (what == "replace")] = [int(rng.integers(1, 1 << 62))]
+    return other
+
+
+def _share_found(lengths, kind, before, behind, trials):
+    rng = np.random.default_rng(3)
+    items = [rng.integers(1, 1 << 62, n, dtype=np.uint64) for n in lengths]
+    block, found = decontamination.ItemBlock(list(range(len(items))), items), 0
+    for i, item in enumerate(items):
+        for _ in range(trials):
+            middle = _edited(rng, item.tolist(), kind, decontamination.edits(len(item)))
+            text = [*rng.integers(1, 1 << 62, before).tolist(), *middle, *rng.integers(1, 1 << 62, behind).tolist()]
+            found += i in {m[1] for m in block.matches(np.array(text, np.uint64), np.array([0, len(text)]))}
+    return found / (len(items) * trials)
+
+
+def test_leaks_that_are_a_whole_text():
+    """Items with as many words deleted as the distance allows have no window of their own length."""
+    assert _share_found([15, 20, 45, 59], "delete", 0, 0, 10) >= 0.7
