@@ -11,9 +11,12 @@ after it; a window that reaches the text's end is cut there and counts as padded
 2. CGK walk. A random walk reads the window: at step j it writes the word under its pointer and moves on if a random bit of
    (step, word) says so. Windows at a small edit distance give writings at a small Hamming distance.
 3. Bit sampling. A few written places, drawn at random, are a key. Keys of several samples of several independent
-   walks are looked up among the items' keys; the number of walks is raised until simulated edits of the
-   items themselves at the largest distance are found with probability ``RECALL``.
-4. Candidates are decided by the exact edit distance between the item and the best part of the region.
+   walks are looked up among the items' keys; each item length has its own number of walks, raised until simulated
+   edits of its items at the largest distance are found with probability ``RECALL`` for each kind of edit, where text
+   goes on and where it ends.
+4. Lengths that ``MOST_WALKS`` walks are too few for, and those over ``LONGEST`` words, are not sampled at all: the
+   runs of screened windows go to every item of which they have n - 1 - 2k pairs. That drops no match either.
+5. Candidates are decided by the exact edit distance between the item and the best part of the region.
 
 The benchmark is the stated query set: it is taken in blocks of at most ``BLOCK_WORDS`` words, each block against
 all documents. Documents are never shuffled.
@@ -37,7 +40,10 @@ from repopulse.llm.ship import ship
 from repopulse.llm.words import mix, ngrams, slices, words_of
 
 RATE, RECALL = 0.15, 0.98
-SAMPLED, SAMPLES, MOST_WALKS = 3, 8, 16
+SAMPLED, SAMPLES, MOST_WALKS = 3, 8, 6
+#: Words of the longest items that are walked over, and simulated edits of each kind and length.
+LONGEST, TRIALS = 120, 50
+KINDS = ("replace", "insert", "delete", "mixed")
 BLOCK_WORDS = 500_000
 _PAD = np.uint64(0x5851F42D4C957F2D)
 
@@ -66,6 +72,19 @@ def edit_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return int(last[end]), end - length, length
 
 
+def edited(rng: np.random.Generator, words: list[int], kind: str, k: int) -> list[int]:
+    """The words after k edits with new words at random places."""
+    words = list(words)
+    for _ in range(k):
+        one = KINDS[rng.integers(0, 3)] if kind == "mixed" else kind
+        at = int(rng.integers(0, len(words)))
+        if one == "delete":
+            del words[at]
+        else:
+            words[at : at + (one == "replace")] = [int(rng.integers(1, 1 << 62))]
+    return words
+
+
 class ItemBlock:
     """The look-up tables of some items: their ids and words."""
 
@@ -79,18 +98,26 @@ class ItemBlock:
         self.singles = np.unique(np.concatenate([t for t in texts if len(t) == 1] or [np.zeros(0, np.uint64)]))
         self.common = np.zeros(1 << 20, bool)
         self.common[(self.pairs >> np.uint64(44)).astype(np.int64)] = True
-        self.walks = 1
-        while self.walks < MOST_WALKS and self._recall() < recall:
-            self.walks += 1
-        self.tables = {}
+        self.tables, self.exact = {}, {}
+        self.walks = {n: self._walks(n, [texts[i] for i in own], recall) for n, own in self.by_length.items()}
         for n, own in self.by_length.items():
             data = np.concatenate([texts[i] for i in own])
-            keys = self.keys(data, np.arange(len(own)) * n, n)
-            number = np.repeat(np.array(own), keys.shape[1])
-            order = np.argsort(keys.ravel(), kind="stable")
-            self.tables[n] = keys.ravel()[order], number[order]
-
-    def keys(self, words: np.ndarray, starts: np.ndarray, n: int, bits: dict | None = None, room: np.ndarray | None = None) -> np.ndarray:
+            if self.walks[n]:
+                keys = self.keys(data, np.arange(len(own)) * n, n)
+            else:
+                keys = ngrams(data, 2)[(np.arange(len(own)) * n)[:, None] + np.arange(n - 1)]
+            flat, number = keys.ravel(), np.repeat(np.array(own), keys.shape[1])
+            order = np.lexsort((number, flat))
+            flat, number = flat[order], number[order]
+            if self.walks[n]:
+                self.tables[n] = flat, number
+            else:
+                new = np.ones(len(flat), bool)
+                new[1:] = (flat[1:] != flat[:-1]) | (number[1:] != number[:-1])
+                self.exact[n] = flat[new], number[new]
+
+    def keys(self, words: np.ndarray, starts: np.ndarray, n: int, bits: dict | None = None, room: np.ndarray | None = None,
+             walks: range | None = None) -> np.ndarray:
         """Keys of the n-word windows at ``starts``: one row a window, one column for each sample of each walk.
 
         ``bits`` keeps the random bits of ``words`` between calls; they don't depend on n. ``room``: the words of each window,
@@ -98,7 +125,7 @@ class ItemBlock:
         """
         room = n if room is None else room
         out, bits = [], {} if bits is None else bits
-        for walk in range(self.walks):
+        for walk in range(self.walks[n]) if walks is None else walks:
             rng = np.random.default_rng([n, walk])
             chosen = rng.integers(0, 2 * n, (SAMPLES, SAMPLED))
             written = {}
@@ -119,28 +146,48 @@ class ItemBlock:
                 out.append(mix(key, 31))
         return np.stack(out, axis=1) if out else np.zeros((len(starts), 0), np.uint64)
 
-    def _recall(self, most: int = 100) -> float:
-        """Share of the items, edited as far as allowed, that some key finds."""
-        rng, found, tried = np.random.default_rng(5), 0, 0
-        for item in self.items[:: max(1, len(self.items) // most)]:
-            n, other = len(item), list(item)
-            if not edits(n, self.rate):
-                continue
-            for _ in range(edits(n, self.rate)):
-                kind, at = rng.integers(0, 3), int(rng.integers(0, len(other)))
-                new = rng.integers(1, 1 << 62, dtype=np.uint64)
-                if kind == 0:
-                    other[at] = new
-                elif kind == 1:
-                    other.insert(at, new)
-                elif len(other) > 1:
-                    del other[at]
-            start, own = np.zeros(1, np.int64), len(other)
-            for room in {n, min(own, n)}:  # text goes on, text ends
-                near = np.array((other + rng.integers(1, 1 << 62, n, dtype=np.uint64).tolist())[:n], np.uint64)
-                found += bool((self.keys(item, start, n) == self.keys(near, start, n, room=np.array([room]))).any())
-                tried += 1
-        return found / tried if tried else 1.0
+    def _walks(self, n: int, items: list[np.ndarray], recall: float) -> int:
+        """Walks that find items of n words, edited as far as allowed, of each kind of edit; 0 if the exact way must."""
+        k = edits(n, self.rate)
+        if not k:
+            return 1
+        if n > LONGEST:
+            return 0
+        rng, near, room = np.random.default_rng([5, n]), [], []
+        of, group = [], []
+        for kind in range(len(KINDS)):
+            for trial in range(TRIALS):
+                item = int(rng.integers(0, len(items)))
+                other = edited(rng, items[item].tolist(), KINDS[kind], k)
+                row = (other + rng.integers(1, 1 << 62, n).tolist())[:n]
+                for ends in (False, True):
+                    near.append(row)
+                    room.append(min(len(other), n) if ends else n)
+                    of.append(item)
+                    group.append(2 * kind + ends)
+        given, own = np.array(near, np.uint64).ravel(), np.concatenate(items)
+        found, group, starts = np.zeros(len(near), bool), np.array(group), np.arange(len(near)) * n
+        for walk in range(MOST_WALKS):
+            one = range(walk, walk + 1)
+            key = self.keys(own, np.arange(len(items)) * n, n, walks=one)[of]
+            found |= (self.keys(given, starts, n, room=np.array(room), walks=one) == key).any(axis=1)
+            if np.bincount(group, found).min() >= recall * TRIALS:
+                return walk + 1
+        return 0
+
+    def _sharing(self, n: int, pair: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, from, to) for runs of the windows from:to and the n-word items of which a run has enough pairs."""
+        pairs, number = self.exact[n]
+        need = n - 1 - 2 * edits(n, self.rate)
+        cut = np.flatnonzero(starts[1:] >= ends[:-1]) + 1
+        for low, high in zip(np.concatenate([[0], cut]).tolist(), np.concatenate([cut, [len(starts)]]).tolist(), strict=True):
+            run = pair[starts[low] : ends[high - 1] - 1]
+            a, b = np.searchsorted(pairs, run, "left"), np.searchsorted(pairs, run, "right")
+            each = b - a
+            at = np.arange(each.sum()) + np.repeat(a - (np.cumsum(each) - each), each)
+            items, times = np.unique(number[at], return_counts=True)
+            for item in items[times >= need].tolist() if need > 0 else self.by_length[n]:
+                yield item, low, high
 
     def screened(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For every item length the first words of windows that can match, and where each window ends."""
@@ -173,12 +220,19 @@ class ItemBlock:
         """(text, item, first word, words, distance) of all matches, the best one of each region."""
         regions, left = defaultdict(list), list(self.screened(hashes, first))
         edge = np.zeros(len(hashes) + 1, np.int64)
-        for _, starts, ends in left:
+        pair = ngrams(hashes, 2) if self.exact else None
+        for n, starts, ends in left:
+            if n in self.exact:
+                for item, low, high in self._sharing(n, pair, starts, ends) if len(starts) else ():
+                    regions[item].extend(starts[low:high].tolist())
+                continue
             np.add.at(edge, starts, 1)
             np.add.at(edge, ends, -1)
         covered = np.cumsum(edge[:-1]) > 0  # only the words of these windows are walked over
         near, rank, bits = hashes[covered], np.cumsum(covered) - 1, {}
         for n, starts, ends in left:
+            if n in self.exact:
+                continue
             table, number = self.tables[n]
             for low in range(0, len(starts), 50_000):
                 part = starts[low : low + 50_000]

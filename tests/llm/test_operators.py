@@ -340,3 +340,9 @@ def _share_found(lengths, kind, before, behind, trials):
 def test_leaks_that_are_a_whole_text():
     """Items with as many words deleted as the distance allows have no window of their own length."""
     assert _share_found([15, 20, 45, 59], "delete", 0, 0, 10) >= 0.7
+
+
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "mixed"])
+@pytest.mark.parametrize("behind", [0, 30])
+def test_leaks_of_every_length_and_kind_of_edit(kind, behind):
+    assert _share_found([20, 45, 59, 120, 300], kind, 30, behind, 6) >= 0.93
