@@ -102,24 +102,20 @@ class HostWords:
 
     def split(self, label: str) -> list[str]:
         """Best split of a run of letters and digits (Viterbi); unlisted runs cost by their letters."""
-        best = [(0.0, 0, True)] + [(math.inf, 0, True)] * len(label)
+        # best cost of the first letters, and where its last piece begins: ended by a listed word, and by an unknown run
+        word = [(0.0, 0)] + [(math.inf, 0)] * len(label)
+        run = [(math.inf, 0)] * (len(label) + 1)
         for end in range(1, len(label) + 1):
             for start in range(max(0, end - LONGEST), end):
-                cost, _, listed = best[start]
                 own = self.cost.get(label[start:end])
-                if own is not None and cost + own < best[end][0]:
-                    best[end] = (cost + own, start, True)
-            for listed in (True, False):  # an unknown run goes on letter by letter
-                cost, _, was = best[end - 1]
-                step = self.letter + (self.unknown if was else 0)
-                if cost + step < best[end][0]:
-                    best[end] = (cost + step, end - 1, False)
-        out, end = [], len(label)
+                if own is not None:
+                    word[end] = min(word[end], (min(word[start][0], run[start][0]) + own, start))
+            going, begin = run[end - 1]
+            run[end] = min((going + self.letter, begin), (word[end - 1][0] + self.unknown + self.letter, end - 1))
+        out, end, open_run = [], len(label), False
         while end:
-            _, start, listed = best[end]
-            if not listed:
-                while start and not best[start][2]:
-                    start = best[start][1]
+            open_run = not open_run and run[end][0] < word[end][0]  # two runs never meet: one is cheaper
+            start = (run if open_run else word)[end][1]
             out.append(label[start:end])
             end = start
         return out[::-1]

@@ -346,3 +346,19 @@ def test_leaks_that_are_a_whole_text():
 @pytest.mark.parametrize("behind", [0, 30])
 def test_leaks_of_every_length_and_kind_of_edit(kind, behind):
     assert _share_found([20, 45, 59, 120, 300], kind, 30, behind, 6) >= 0.93
+
+
+@pytest.mark.parametrize("listed", [5_000, 50_000])
+def test_a_short_word_does_not_cut_an_unknown_name(listed):
+    model = url_filter.HostWords({"the": listed}, {"bet": 50, "sex": 50, "pill": 50}, ["es", "ary", "com"])
+
+    def cost(parts):
+        return sum(model.cost.get(p, model.unknown + model.letter * len(p)) for p in parts)
+
+    def splits(s):
+        yield from ([s[:i], *rest] for i in range(1, len(s)) for rest in splits(s[i:]))
+        yield [s]
+
+    assert model.split("zorbetla") == ["zorbetla"]
+    for label in ("zorbetla", "essexvale", "caterpillary", "thebetzz", "zzthebet", "betbet"):
+        assert cost(model.split(label)) == pytest.approx(min(map(cost, splits(label))))
