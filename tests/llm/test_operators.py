@@ -362,3 +362,17 @@ def test_a_short_word_does_not_cut_an_unknown_name(listed):
     assert model.split("zorbetla") == ["zorbetla"]
     for label in ("zorbetla", "essexvale", "caterpillary", "thebetzz", "zzthebet", "betbet"):
         assert cost(model.split(label)) == pytest.approx(min(map(cost, splits(label))))
+
+
+def test_url_counts_have_no_cap(spark):
+    """More words on two sites than any fixed dictionary of 50,000; each of them, also the last, splits a name."""
+    word = "concat('q', translate(cast(id + 100000 as string), '0123456789', 'abcdefghij'))"
+    many = spark.range(52_000).selectExpr("id AS page_id", f"explode(array(concat('http://siteone.example.com/', {word}), concat('http://sitetwo.example.com/', {word}))) AS url")
+    rare = "q" + str(100_000 + 51_999).translate(str.maketrans("0123456789", "abcdefghij"))
+    pages = many.unionByName(spark.createDataFrame([(-1, f"http://the{rare}blog.com/")], "page_id long, url string"))
+    made = url_filter.judge_urls(pages)
+    assert made.where("page_id = -1").first().words == ["the", rare, "blog", "com"] and made.count() == 104_001
+    counts = {r["word"]: r["count"] for r in url_filter.count_words(pages).collect()}
+    whole = url_filter.HostWords(counts, url_filter.blocked_words(), url_filter.ORDINARY.split())
+    for r in made.where("page_id % 5000 = 0 OR page_id < 0").collect():
+        assert r.words == whole.words(r.host, r.path) and r.score == pytest.approx(whole.score(r.words))
