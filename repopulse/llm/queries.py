@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import decontamination, line_quality, lm_scoring, mixing, near_dedup, preferences, substring_dedup, token_files, toxicity, url_filter
+from repopulse.llm import (crosswalk, decontamination, line_quality, lm_scoring, mixing, near_dedup, packing, periodic_runs, preferences,
+                           substring_dedup, token_files, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,3 +86,47 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     return url_filter.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two vocabularies' tokens in every document, with corpus-wide counts of the linked ids."""
+    return crosswalk.aligned(_table(spark, sf_dir, "documents"), keep_text=False)
+
+
+@query
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in the packed sequences."""
+    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) in which a tenth, chosen by the checksum of the id, repeat a stretch to their end.
+
+    From word a on, the p words there come again and again. A missing id plants nothing.
+    """
+    # an explode pins the words as a column; as an expression they would be split again for each use
+    words = F.filter(F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", checksum.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, words)).select("doc_id", "text", "h", F.explode_outer(F.array("words")).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    return chosen.select("doc_id", F.when(F.size("words") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, its longest run, and a checksum of the text without their repetitions."""
+    found = periodic_runs.periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"), F.expr("(1000 * best.length) div (-best.less)").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
