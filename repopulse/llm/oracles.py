@@ -38,4 +38,27 @@ s AS (SELECT p.pair_id, turn, 'prompt' AS segment, chosen AS said FROM p JOIN d
 SELECT pair_id, segment, turn, said.role AS role, '<|' || said.role || '|>' || chr(10) || said.text || chr(10) AS rendered,
        segment <> 'prompt' AND said.role = 'assistant' AS loss
 FROM s""",
+    "op13_periodic_runs": f"""
+WITH t AS (SELECT doc_id, {_WORDS} AS w,
+  xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS h FROM documents),
+n AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM t),
+given AS (SELECT doc_id, n, planted, a, 1 + (n - a) // (3 + g % 8) AS p FROM n),
+said AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM t),
+m AS (SELECT s.doc_id, s.i, o.word, g.n FROM said s JOIN given g USING (doc_id)
+      JOIN said o ON o.doc_id = s.doc_id AND o.i = CASE WHEN planted AND s.i >= a THEN a + (s.i - a) % p ELSE s.i END),
+same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM m x JOIN m y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+long AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM long x WHERE NOT EXISTS (
+           SELECT 1 FROM long y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.l >= x.s + x.l)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM m ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+per_doc AS (SELECT doc_id, count(*) AS n_runs, first({{'s': s, 'l': l, 'q': q}} ORDER BY l DESC, s, q) AS best,
+              string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length,
+       CAST(best.q AS BIGINT) AS period, CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
