@@ -252,24 +252,27 @@ def rejected_events(t):
 
 
 def _loaded_lake(t):
-    """The archive loaded in three calls that each see the new days only; undated rows come first."""
+    """The archive in four loads: rows without a readable time come with each, late rows of the first days with the
+    second, the whole archive with the third, some of it once more with the last."""
     lake, raw = _path(t, "lake"), t["f_archive"]
-    cuts = [dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 2, 1)]
-    for low, high in zip([None, *cuts], cuts, strict=False):
-        since = F.lit(True) if low is None else F.col("created") >= low.isoformat()
-        undated = F.col("created").isNull() if low is None else F.lit(False)
-        lake_job.load_days(raw.filter(undated | (since & (F.col("created") < high.isoformat()))), lake, high, dt.date(2023, 12, 31))
+    late, undated = F.col("event_id") % 5 == 0, lake_job.lane(F.col("created")) == lake_job.UNDATED
+    first, second, end = dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 2, 1)
+    before = F.col("created") < first.isoformat()
+    given = [(undated | before & ~late, first), (undated | before & late | (F.col("created") >= first.isoformat()), second),
+             (F.lit(True), end), (undated | (F.col("event_id") % 3 == 0), end)]
+    for rows, as_of in given:
+        lake_job.load_days(raw.filter(rows), lake, as_of, dt.date(2023, 12, 31))
     return lake
 
 
 @query
 def lake_load(t):
-    return t.spark.read.parquet(f"{_loaded_lake(t)}/timeline").select(*schemas.TIMELINE.fieldNames())
+    return lake_job.read_timeline(t.spark, _loaded_lake(t)).select(*schemas.TIMELINE.fieldNames())
 
 
 @query
 def lake_rejects(t):
-    return t.spark.read.parquet(f"{_loaded_lake(t)}/rejects").select("event_id", "reason")
+    return lake_job.read_loaded(t.spark, _loaded_lake(t), "rejects").select("event_id", "reason")
 
 
 @query
@@ -713,11 +716,15 @@ def stream_landing(t):
 
 @query
 def stream_rejects(t):
-    spool, lake, mark = (_path(t, n) for n in ("spool", "lake", "checkpoint"))
-    _event_lines(t).write.text(spool)
+    """Files of equal names in several folders; landed, then landed again from the start."""
+    spool, lake = _path(t, "spool"), _path(t, "lake")
+    folder = F.pmod(F.xxhash64("value"), F.lit(3))
+    _event_lines(t).toDF("value").withColumn("folder", folder).write.partitionBy("folder").text(spool)
     valid = F.try_element_at(F.split("value", ","), F.lit(3)) != "error"
-    landing.land_with_rejects(landing.spooled_lines_by_file(t.spark, spool), valid, lake, mark).awaitTermination()
-    return t.spark.read.text(lake).select("value", "lane")
+    for _ in range(2):
+        lines = landing.spooled_lines_by_file(t.spark, f"{spool}/*", max_files=1)
+        landing.land_with_rejects(lines, valid, lake, _path(t, "checkpoint")).awaitTermination()
+    return landing.landed_lines(t.spark, lake).select("value", "lane")
 
 
 @query

@@ -59,7 +59,8 @@ SELECT event_id,
        CASE WHEN event_id % 97 = 0 THEN 'noslash' WHEN event_id % 101 = 0 THEN 'a/b/c'
             ELSE 'own' || CAST(user_id % 20 AS STRING) || '/repo' || CAST(user_id AS STRING) END AS repo_name,
        'u' || CAST(event_id % 53 AS STRING) AS actor_login,
-       CASE WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN sec ELSE sec || '.000000' END AS created,
+       CASE WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN sec WHEN event_id % 67 = 0 THEN 'n/a'
+            WHEN event_id % 61 = 0 THEN replace(replace(sec, '-', ''), ':', '') WHEN event_id % 59 = 0 THEN '2024-02-30 03:00:00.000000' ELSE sec || '.000000' END AS created,
        CASE WHEN user_id % 4 = 0 THEN CAST(user_id AS STRING) END AS org_id,
        CASE WHEN user_id % 4 = 0 THEN 'org' || CAST(user_id AS STRING) END AS org_login
 FROM (SELECT *, CASE type

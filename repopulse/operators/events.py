@@ -58,7 +58,8 @@ def _iso_time(text: Column) -> Column:
         F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
 
 
-def _created_time(text: Column) -> Column:
+def created_time(text: Column) -> Column:
+    """The time of a row of the archive; NULL if it is not of the fixed form or no such time exists."""
     seconds = F.when(text.rlike(CREATED_PATTERN), F.substring(text, 1, 19))
     return F.try_to_timestamp(seconds, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
 
@@ -75,7 +76,7 @@ def classify_events(raw: DataFrame) -> DataFrame:
     rows = raw.select("*", F.split(F.col("repo_name"), "/").alias("_parts"),
                       F.explode_outer(F.array(parsed)).alias("_json"))
     event, body = F.col("type"), F.col("_json")
-    created = _created_time(F.col("created"))
+    created = created_time(F.col("created"))
     is_pull, is_issue = event == "PullRequestEvent", event == "IssuesEvent"
     is_comment, is_create = event == "CommitCommentEvent", event == "CreateEvent"
     action = canonical_action(event, body["action"])

@@ -1,9 +1,17 @@
-"""Landed archive files -> timeline and repository tables of the lake, loaded day by day."""
+"""Landed archive files -> timeline and repository tables of the lake, loaded day by day.
+
+Every load has its own folder in each table and a row in the ledger ``loads``, written last, that commits it. The
+table ``landed`` holds a checksum of every row that a load took, by lane: one lane a day, and one for rows of
+no readable day. A load takes the days after the last loaded one as they come; of all other rows, late ones of
+loaded days and undated ones, it takes what ``landed`` doesn't have yet. So it doesn't matter
+whether the new rows alone or the whole archive is given, once or again.
+"""
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repopulse import schemas
 from repopulse.functions.dates import months_back
@@ -13,59 +21,118 @@ from repopulse.plans import metrics_job
 from repopulse.session import cut_lineage, shared_path
 from repopulse.sources import files
 
+UNDATED = "undated"
+COPIES_PER_ROW = 100_000
+
+_LOADS = "load int, last_day date, rows long, late_rows long"
+_TIMELINE = T.StructType(schemas.TIMELINE.fields + [T.StructField(c, T.IntegerType()) for c in ("load", "year", "month", "half")])
+_REPOSITORIES = T.StructType(schemas.REPO.fields + [T.StructField("load", T.IntegerType())])
+
+
+def content_key(columns: list[str]) -> Column:
+    """128 bits that stand for all of a row's fields; missing and empty ones differ."""
+    return F.unhex(F.md5(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})))
+
+
+def lane(created: Column) -> Column:
+    """The day of a row as text, or the lane of the rows whose time can't be read."""
+    return F.coalesce(F.date_format(ev.created_time(created), "yyyy-MM-dd"), F.lit(UNDATED))
+
+
+def committed(spark: SparkSession, lake: str, first_run: dt.date) -> tuple[int, dt.date]:
+    """Number of the last complete load, 0 if none, and the last loaded day."""
+    newest = files.read_partitioned(spark, f"{lake}/loads", _LOADS).agg(F.max("load").alias("n"), F.max("last_day").alias("day")).first()
+    return newest["n"] or 0, newest["day"] or first_run
+
+
+def read_loaded(spark: SparkSession, lake: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of the lake without what an unfinished load left behind; without a schema it is read from the files."""
+    rows = files.read_partitioned(spark, f"{lake}/{table}", schema) if schema else spark.read.parquet(f"{lake}/{table}")
+    return rows.filter(F.col("load") <= committed(spark, lake, dt.date.min)[0])
+
 
-def _merged(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
-    """Written elsewhere first: the table that is replaced is also an input."""
-    return cut_lineage(old.unionByName(new), name)
+def read_timeline(spark: SparkSession, lake: str) -> DataFrame:
+    """Timeline rows with their year, month and half, by which reads can be pruned."""
+    return read_loaded(spark, lake, "timeline", _TIMELINE).drop("load")
+
+
+def read_repositories(spark: SparkSession, lake: str) -> DataFrame:
+    """The earliest creation of every repository over all loads."""
+    return ev.dedupe_repositories(read_loaded(spark, lake, "repositories", _REPOSITORIES).drop("load"))
+
+
+def unseen_rows(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of ``rows`` beyond the copies that ``seen`` has of the same (lane, key).
+
+    Equal rows are one group with a count, combined before they are shuffled; the copies that are new are made
+    again in steps that are dealt out, so a row that is delivered very often is no task's load.
+    """
+    at = ["lane", "key"]
+    rest = [c for c in rows.columns if c not in at]
+    grouped = rows.groupBy(*at).agg(F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    counted = seen.groupBy(*at).agg(F.count("*").alias("_seen"))
+    left = (grouped.join(counted, at, "left").withColumn("_n", F.col("_n") - F.coalesce("_seen", F.lit(0)))
+            .filter(F.col("_n") > 0))
+    steps = left.select(*at, "_row", "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_ROW))).alias("_step"))
+    copies = F.least(F.lit(COPIES_PER_ROW), F.col("_n") - F.col("_step") * COPIES_PER_ROW).cast("int")
+    return (steps.hint("rebalance").select(*at, "_row", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
+            .select("_row.*", *at).select(*rows.columns))
 
 
 def load_days(raw: DataFrame, lake: str, as_of: dt.date, first_run: dt.date) -> dt.date:
-    """Load the whole days after the last loaded one and before ``as_of``; returns the new mark.
+    """Load the days before ``as_of`` that are not loaded yet; returns the last loaded day.
 
-    ``raw`` may hold the new days only. ``created`` is fixed-width text, so the day range is a text
-    comparison that reaches the scan; rows without it belong to no day and are rejected in this load.
-    The archive is parsed once and written by outcome. Rows of earlier days in the half-month of the first
-    new day are kept, so are repositories seen before; a load that is repeated after a failure
-    replaces what it wrote. Broken rows go to ``rejects``, a folder for each load.
+    ``raw`` may hold the new rows only or any others too. Rows of days up to ``first_run`` belong to no load, rows
+    from ``as_of`` on to a later one. Late rows of loaded days are added. A row that is given
+    again is the same row; if it comes in more copies than before, the further copies are added. Broken rows,
+    those without a readable time among them, go to ``rejects`` once. The archive is parsed once; a load that
+    is repeated after a failure replaces what it wrote.
     """
-    spark, mark_path = raw.sparkSession, f"{lake}/last_run"
-    last = files.read_mark(spark, mark_path, first_run)
-    newest = as_of - dt.timedelta(days=1)
-    if newest <= last:
-        return last
-    start = last + dt.timedelta(days=1)
-    created = F.col("created")
-    new = raw.filter(ev.blank(created) | ((created >= start.isoformat()) & (created < as_of.isoformat())))
+    spark, columns = raw.sparkSession, raw.columns
+    number, last = committed(spark, lake, first_run)
+    load, newest = number + 1, max(last, as_of - dt.timedelta(days=1))
+    day = lane(F.col("created"))
+    wanted = (day == UNDATED) | ((day > first_run.isoformat()) & (day <= newest.isoformat()))
+    late = (F.col("lane") == UNDATED) | (F.col("lane") <= last.isoformat())
+    classified = ev.classify_events(raw.filter(wanted)).withColumns({"lane": day, "key": content_key(columns)}).withColumn("late", late)
     path = shared_path(spark, "classified")
-    parsed = ev.classify_events(new)
-    parsed.write.partitionBy("outcome").parquet(path)
-    classified = spark.read.schema(parsed.schema).parquet(path)
-
-    begin = F.lit(start.isoformat()).cast("timestamp_ntz")
-    half = 1 if start.day <= 15 else 2
-    timeline = files.with_half_month(ev.timeline_events(classified), "created_at")
-    old = files.read_partitioned(spark, f"{lake}/timeline", timeline.schema).filter(
-        (F.col("year") == start.year) & (F.col("month") == start.month) & (F.col("half") == half) & (F.col("created_at") < begin))
-    files.write_partitioned(_merged(old, timeline, "timeline"), f"{lake}/timeline", ["year", "month", "half"])
-
-    found = ev.dedupe_repositories(ev.new_repositories(classified)).withColumn("year", F.year("repo_created_at"))
-    known = files.read_partitioned(spark, f"{lake}/repositories", found.schema).filter(F.col("repo_created_at") < begin)
-    fresh = found.join(known.select("repository_owner", "repository_name"), ["repository_owner", "repository_name"], "left_anti")
-    same_years = known.filter(F.col("year").between(start.year, newest.year))
-    files.write_partitioned(_merged(same_years, fresh.select(*known.columns), "repositories"), f"{lake}/repositories", ["year"])
-
-    rejects = ev.rejected_events(classified, raw.columns)
-    rejects.write.mode("overwrite").parquet(f"{lake}/rejects/loaded={newest.isoformat()}")
-    files.write_mark(spark, newest, mark_path)
+    classified.write.partitionBy("late", "outcome").parquet(path)
+    given = spark.read.schema(classified.schema).parquet(path)
+
+    again = given.filter("late")
+    lanes = [r.lane for r in again.select("lane").distinct().collect()]  # days of the calendar
+    seen = files.read_partitioned(spark, f"{lake}/landed", "key binary, load int, lane string").filter(
+        (F.col("load") <= number) & F.col("lane").isin(lanes))
+    added = cut_lineage(unseen_rows(again, seen), "late-rows")
+    rows, late_rows = given.count(), added.count()
+    rows += late_rows - again.count()
+    if not rows and newest == last:
+        return last
+    taken = given.filter("NOT late").unionByName(added)
+
+    def put(table: DataFrame, name: str, partitions: list[str]) -> None:
+        out = table.hint("rebalance", *partitions).write.mode("overwrite")
+        (out.partitionBy(*partitions) if partitions else out).parquet(f"{lake}/{name}/load={load}")
+
+    put(files.with_half_month(ev.timeline_events(taken), "created_at"), "timeline", ["year", "month", "half"])
+    found = ev.dedupe_repositories(ev.new_repositories(taken))
+    key = ["repository_owner", "repository_name"]
+    known = files.read_partitioned(spark, f"{lake}/repositories", _REPOSITORIES).filter(F.col("load") <= number)
+    earlier = known.groupBy(*key).agg(F.min("repo_created_at").alias("_known"))
+    fresh = found.join(earlier, key, "left").filter(F.col("_known").isNull() | (F.col("repo_created_at") < F.col("_known"))).drop("_known")
+    put(fresh.withColumn("year", F.year("repo_created_at")), "repositories", ["year"])
+    put(ev.rejected_events(taken, columns), "rejects", [])
+    put(taken.select("lane", "key"), "landed", ["lane"])
+    spark.createDataFrame([(newest, rows, late_rows)], "last_day date, rows long, late_rows long").write.mode("overwrite").parquet(
+        f"{lake}/loads/load={load}")
     return newest
 
 
 def run_metrics(spark: SparkSession, lake: str, as_of: dt.datetime, n_months: int, base_year: int = 2014,
                 years: int = 3, bands: list[AgeBand] | None = None) -> metrics_job.MetricsRun:
     """Recompute the monthly table of the last ``n_months`` months and derive from all months."""
-    timeline = files.prune_months(spark.read.parquet(f"{lake}/timeline"), as_of, n_months)
-    repos = spark.read.schema(schemas.REPO).parquet(f"{lake}/repositories")
-    fresh = metrics_job.monthly_of(timeline.drop("year", "month", "half"), repos, base_year, years)
+    timeline = files.prune_months(read_timeline(spark, lake), as_of, n_months)
+    fresh = metrics_job.monthly_of(timeline.drop("year", "month", "half"), read_repositories(spark, lake), base_year, years)
     files.write_partitioned(fresh, f"{lake}/monthly", ["calendar_month"])
     return metrics_job.derive(spark.read.parquet(f"{lake}/monthly"), bands)
 

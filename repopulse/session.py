@@ -33,10 +33,15 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/repopulse/{spark.sparkContext.applicationId}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark can write; nothing happens if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call it when its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _own_folder(spark))
 
 
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:

@@ -80,7 +80,7 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> No
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A partitioned table under a declared schema; empty where nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -116,15 +116,3 @@ def file_freshness(spark: SparkSession, path: str) -> DataFrame:
     return (files.withColumn("file_name", F.split_part(relative, F.lit("/"), F.lit(1)))
             .filter(~F.startswith("file_name", F.lit(FRESHNESS_FILE)))
             .groupBy("file_name").agg(F.max("modificationTime").alias("last_modified")))
-
-
-def read_mark(spark: SparkSession, path: str, default: dt.date) -> dt.date:
-    """The last loaded day, kept as a one-row table."""
-    try:
-        return spark.read.parquet(path).first()["last_run"] or default
-    except AnalysisException:
-        return default
-
-
-def write_mark(spark: SparkSession, day: dt.date, path: str) -> None:
-    spark.createDataFrame([(day,)], "last_run date").write.mode("overwrite").parquet(path)
