@@ -30,6 +30,8 @@ from repopulse.llm.subwords import ByteBpe, PieceBpe, as_lists, default_vocabula
 from repopulse.llm.words import slices, text_buffer
 from repopulse.session import cut_lineage
 
+#: Text of a block. Its joins take some hundred times that in memory.
+SLICE_BYTES = 3 << 19
 _BLOCK = "block long, payload binary, a array<int>, b array<int>, docs array<long>"
 RESULT = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
                       + [T.StructField("groups", T.StringType())])
@@ -98,7 +100,7 @@ def align_blocks(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, keep_tex
         block = TaskContext.get().partitionId() << 32
         a_side, b_side = ByteBpe.load(vocabulary_a, plain_specials=True), PieceBpe.load(vocabulary_b)
         sizes = [pa.array(side.token_sizes) for side in (a_side, b_side)]
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
             given, offsets = text_buffer(batch.column(1))
             data, ends = with_leading_space(given, offsets)
             coded = [side.encode(data, ends) for side in (a_side, b_side)]
@@ -119,6 +121,7 @@ def align_blocks(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, keep_tex
                               np.diff(text_offsets), text_data])
             pairs = np.asarray(pairs)
             row = [[block], [payload], [(pairs >> 32).astype(np.int32)], [(pairs & 0xFFFFFFFF).astype(np.int32)], [counts]]
+            del coded, lists, a, b, link, pair, texts, codes
             yield pa.record_batch([pa.array(row[0], pa.int64()), pa.array(row[1], pa.binary()), *[pa.array(r, pa.list_(pa.int32())) for r in row[2:4]],
                                    pa.array(row[4], pa.list_(pa.int64()))], names=["block", "payload", "a", "b", "docs"])
             block += 1
