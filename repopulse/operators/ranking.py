@@ -5,8 +5,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repopulse.functions import text as tx
 from repopulse.functions.dates import first_day_not_before, inverse_age
 from repopulse.operators import skew
+from repopulse.session import cut_lineage
 
 # --- Fixed values ---------------------------------------------------------------------------
 TRAILING_DAYS = 30
@@ -15,6 +17,9 @@ SCORE_DAYS = 180
 DATE_FLOORS = {"dzone": dt.date(2014, 1, 1)}
 # -------------------------------------------------------------------------------------------
 
+#: Lists up to so many words make their pairs in the row.
+SHORT_LIST = 100
+
 
 def dated(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("date_published").isNotNull())
@@ -92,22 +97,38 @@ def cooccurrence(posts: DataFrame, floors: dict[str, dt.date] | None = None,
                  rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """How often other top words appear with a word, repeated for each date of the word.
 
-    Pairs come from each post's own short list and are counted before anything is shuffled; dates
-    join the counted pairs, never the posts.
+    Pairs are counted before dates join them; both sides of a common word are cut into blocks, as many dates meet
+    many partners there.
     """
     kept = dated(posts).filter(on_or_after(DATE_FLOORS if floors is None else floors))
-    pairs = (
-        kept.select("source", F.explode("top_words").alias("top_words"), F.col("top_words").alias("others"))
-        .select("source", "top_words", F.explode("others").alias("search_results"))
-        .filter(F.col("search_results") != F.col("top_words"))
-        .groupBy("source", "top_words", "search_results").agg(F.count("*").alias("frequency"))
-    )
-    dates = post_words(kept).select("source", "top_words", "date_published").distinct()
+    # written, as it feeds the pairs, the dates and the counts that both are split by
+    kept = cut_lineage(kept.select("source", "date_published", "top_words"), "dated_words")
     key = ["source", "top_words"]
-    # Many dates meet many partners for a common word: dates are spread, partners replicated.
-    hot = skew.hot_products(dates, pairs, key, rows_per_split)
-    return skew.split_join(dates, pairs, key, ["date_published"], hot).select(
-        "source", "top_words", "date_published", "search_results", "frequency")
+    pairs = cut_lineage(list_pairs(kept.select("source", "top_words"), "top_words", rows_per_split).groupBy(
+        "source", F.col("word").alias("top_words"), F.col("other").alias("search_results")).agg(F.count("*").alias("frequency")), "pairs")
+    dates = kept.select("source", F.explode("top_words").alias("top_words"), "date_published").distinct()
+    return skew.grid_join(dates, pairs, key, ["date_published"], ["search_results"], rows_per_split).select(
+        *key, "date_published", "search_results", "frequency")
+
+
+def list_pairs(rows: DataFrame, column: str, rows_per_split: int = skew.ROWS_PER_SPLIT, short_list: int = SHORT_LIST) -> DataFrame:
+    """Ordered pairs (word, other) of different words of each row's list, with the row's other columns.
+
+    A list of up to ``short_list`` words makes its pairs inside the row, without a shuffle. The words of a longer one,
+    say of a post with very many tied words, become rows which meet through a grid, so no row and no
+    task holds the square of its length.
+    """
+    rest = [c for c in rows.columns if c != column]
+    inside = rows.filter(F.size(column) <= short_list).select(*rest, F.explode(tx.word_pairs(F.col(column))).alias("pair"))
+    inside = inside.select(*rest, "pair.word", "pair.other")
+    long = rows.filter(F.size(column) > short_list)
+    if long.isEmpty():
+        return inside
+    words = cut_lineage(long.withColumn("_row", F.monotonically_increasing_id()).select("_row", *rest, F.explode(column).alias("word")), "long_lists")
+    others = words.select("_row", F.col("word").alias("other"))
+    counts = skew.row_counts(others, ["_row"])
+    met = skew.grid_join(words, others, ["_row"], ["word"], ["other"], rows_per_split, counts, counts)
+    return inside.unionByName(met.filter(F.col("word") != F.col("other")).select(*rest, "word", "other"))
 
 
 def sorted_cooccurrence(pairs: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
