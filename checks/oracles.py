@@ -3,7 +3,7 @@
 import re
 
 from checks import queries as q
-from checks.tables import VIEWS, references
+from checks.tables import CUT_SOURCE, VIEWS, references
 from repopulse.functions import text as tx
 from repopulse.functions.stopwords import ENGLISH
 from repopulse.schemas import COUNT_METRICS, MEAN_METRICS, METRICS, SCORED_METRICS
@@ -98,6 +98,7 @@ _POSITIONS = ("SELECT repo_owner, repo_name, user_type, CAST(repo_created_at AS
               "CAST(max_month AS BIGINT) AS max_month, pos, round(value, 6) AS value FROM vectors")
 
 CTES = {name: text.replace("$TS", "TIMESTAMP") for name, text in VIEWS.items()}
+CTES["f_forest"] = CTES["f_forest"].replace("explode(sequence(0, 539))", "unnest(range(540))")
 CTES["f_lexicon"] = """
 SELECT DISTINCT term FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z0-9_]+')) AS term FROM @benchmark) t
 WHERE length(term) >= 3"""
@@ -190,6 +191,9 @@ WINDOW w AS (PARTITION BY s.repo_owner, s.repo_name, s.user_type ORDER BY s.mont
 SELECT repo_owner, repo_name, user_type, repo_created_at, max_month, (month - 1) * {len(SCORED_METRICS)} + k AS pos,
        [{', '.join(SCORED_METRICS)}][k + 1] AS value
 FROM @vector_spine, range({len(SCORED_METRICS)}) r(k)""",
+    "walk0": """
+SELECT DISTINCT v.repo_owner, v.repo_name, v.user_type, v.repo_created_at, v.max_month, n.tree, 0 AS node
+FROM @vectors v LEFT JOIN @f_forest n ON n.user_type = v.user_type AND n.month = v.max_month""",
     "info": """
 SELECT repository_owner, repository_name, full_name, owner_type, lower(coalesce(description, '')) AS description, created_at, watchers_count, doc_id
 FROM @f_repository_info
@@ -290,6 +294,37 @@ _TIMELINE_OUT = (f"repository_owner, repository_name, actor_login, {_s('created_
 _METRIC_HEAD = f"repo_owner, repo_name, user_type, month, repo_index, {_s('repo_created_at')}"
 _FIRST = f"""date_trunc('month', {_ts(q.PRUNE_AS_OF)}) - INTERVAL '{25 * q.PRUNE_MONTHS}' DAY"""
 
+# Entities of the given pages; the ampersand last, so that nothing is decoded twice.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
+
+
+def _page_text() -> str:
+    text = "html"
+    for pattern in (tx.HIDDEN_BLOCKS, tx.TAGS):
+        text = f"regexp_replace({text}, '{pattern}', '', 'g')"
+    for entity, char in _ENTITIES.items():
+        quoted = char.replace("'", "''")
+        text = f"replace({text}, '{entity}', '{quoted}')"
+    return (f"SELECT page_id, url, replace(translate(regexp_replace({text}, '{_NON_ASCII}', '', 'g'), "
+            f"chr(10) || '''', ''), ',', ' ') AS text FROM pages")
+
+
+_PAGE_TEXT = _page_text()
+# The checksum of a term, byte by byte and bit by bit.
+CTES["term_buckets"] = """
+SELECT term, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(range(0, length(h) // 2),
+         lambda i: [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+       lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) % 200000 AS bucket
+FROM (SELECT DISTINCT term, hex(encode(term)) AS h FROM @tf_units) t"""
+CTES["hashed"] = """
+SELECT source, doc_id, bucket, sum(tf) AS tf FROM @tf_units JOIN @term_buckets USING (term) GROUP BY source, doc_id, bucket"""
+_STEP = """
+SELECT w.repo_owner, w.repo_name, w.user_type, w.repo_created_at, w.max_month, w.tree,
+       CASE WHEN x.value <= n.threshold THEN n.low ELSE n.high END AS node
+FROM {walk} w JOIN @f_forest n ON n.user_type = w.user_type AND n.month = w.max_month AND n.tree = w.tree AND n.node = w.node
+LEFT JOIN @vectors x ON x.repo_owner = w.repo_owner AND x.repo_name = w.repo_name AND x.pos = n.feature"""
+CTES |= {f"walk{i + 1}": _STEP.replace("{walk}", f"@walk{i}") for i in range(3)}
+
 ORACLES = {
     "scan_csv": """
 SELECT repository_owner, repository_name, actor_login, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, event, event_action,
@@ -350,7 +385,25 @@ SELECT event_id, type, event_action FROM (
     "normalize_events": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
     "lake_load": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
     "lake_rejects": "SELECT event_id, reason FROM @classified WHERE outcome = 'rejected'",
-    "feed_load": f"SELECT source, doc_id, {_s('date_published')} FROM @f_posts WHERE date_published IS NOT NULL",
+    "feed_load": f"""
+SELECT p.source, p.doc_id, CAST(p.date_published AS VARCHAR) AS date_published, s.link, md5(s.content || coalesce(g.text, '')) AS content_md5
+FROM @f_posts p JOIN @stored_posts s USING (doc_id)
+LEFT JOIN (SELECT f.page_id, t.text FROM @f_pages f JOIN ({_PAGE_TEXT}) t USING (page_id) WHERE f.url NOT LIKE 'elsewhere/%') g ON g.page_id = p.doc_id
+WHERE p.date_published IS NOT NULL""",
+    "file_freshness": "SELECT unnest(['repositories.csv', 'project_recency.csv', 'timeline.csv']) AS file_name, true AS is_new",
+    "sql_results": f"""
+SELECT {_cohort('r.repo_created_at')} AS repo_index, CAST(c.month AS BIGINT) AS month, count(*) AS repos, CAST(sum(c.watchers) AS BIGINT) AS watchers,
+       count(n.repo_name) AS normalized, (SELECT count(*) FROM @f_posts) AS posts
+FROM @cumulative c JOIN @f_repo r ON r.repository_owner = c.repo_owner AND r.repository_name = c.repo_name
+LEFT JOIN @normalized n ON n.repo_owner = c.repo_owner AND n.repo_name = c.repo_name AND n.month = c.month AND n.user_type = c.user_type
+GROUP BY 1, 2""",
+    "tfidf_hashed": """
+SELECT p.source, p.doc_id, CAST(coalesce(w.n_words, 0) AS BIGINT) AS n_words, CAST(h.bucket AS BIGINT) AS bucket, CAST(h.tf AS BIGINT) AS tf,
+       round(h.tf * ln((c.n + 1) / CAST(d.df + 1 AS DOUBLE)), 6) AS tfidf
+FROM @f_posts p LEFT JOIN (SELECT source, doc_id, sum(tf) AS n_words FROM @hashed GROUP BY source, doc_id) w ON w.source = p.source AND w.doc_id = p.doc_id
+LEFT JOIN @hashed h ON h.source = p.source AND h.doc_id = p.doc_id
+LEFT JOIN (SELECT source, bucket, count(*) AS df FROM @hashed GROUP BY source, bucket) d ON d.source = h.source AND d.bucket = h.bucket
+JOIN (SELECT source, count(*) AS n FROM @f_posts GROUP BY source) c ON c.source = p.source""",
     "stream_normalize": f"SELECT {_TIMELINE_OUT}, user_type FROM @timeline_rows",
     "new_repos": f"SELECT repository_owner, repository_name, {_s('repo_created_at')}, user_type FROM @new_repo_rows",
     "rejected_events": "SELECT event_id, reason FROM @classified WHERE outcome = 'rejected'",
@@ -377,6 +430,13 @@ LEFT JOIN @project_months p ON s.repo_owner = p.repo_owner AND s.repo_name = p.r
 WINDOW w AS (PARTITION BY s.repo_owner, s.repo_name, s.user_type ORDER BY s.month ROWS UNBOUNDED PRECEDING)""",
     "feature_vectors": _POSITIONS.replace("FROM vectors", "FROM @vectors"),
     "repo_scores_features": _POSITIONS.replace("FROM vectors", "FROM @vectors"),
+    "score_repos": """
+SELECT round(avg(n.score), 6) AS model_score, r.repo_owner, r.repo_name, r.user_type, CAST(r.repo_created_at AS VARCHAR) AS repo_created_at,
+       CAST(r.max_month AS BIGINT) AS age_of_project
+FROM (SELECT DISTINCT repo_owner, repo_name, user_type, repo_created_at, max_month FROM @vectors) r
+LEFT JOIN @walk3 w ON w.repo_owner = r.repo_owner AND w.repo_name = r.repo_name
+LEFT JOIN @f_forest n ON n.user_type = w.user_type AND n.month = w.max_month AND n.tree = w.tree AND n.node = w.node
+GROUP BY r.repo_owner, r.repo_name, r.user_type, r.repo_created_at, r.max_month""",
     "score_cutoff": """
 SELECT repo_owner || '/' || repo_name AS full_name, strftime(repo_created_at, '%Y-%m-%d') AS created_at, round(model_score, 6) AS score
 FROM @f_scores WHERE model_score >= 0.14""",
@@ -410,7 +470,7 @@ SELECT doc_id, array_to_string(string_split(trim(regexp_replace(text, '{_WS}', '
     "ascii_only": f"SELECT doc_id, regexp_replace(text, '{_NON_ASCII}', '', 'g') AS text FROM documents",
     "clean_feed_fields": f"""
 SELECT s.doc_id, s.source, CAST(s.date_published AS VARCHAR) AS date_published, s.title, s.link,
-       CASE WHEN s.source = 'high_scalablity' THEN replace(regexp_replace(translate(regexp_replace(p.content, '{_NON_ASCII}', '', 'g'), chr(10) || '''', ''), 'The .*? the ', '', 'g'), ',', ' ')
+       CASE WHEN s.source = '{CUT_SOURCE}' THEN replace(regexp_replace(translate(regexp_replace(p.content, '{_NON_ASCII}', '', 'g'), chr(10) || '''', ''), 'The .*? the ', '', 'g'), ',', ' ')
             ELSE s.content END AS content
 FROM @stored_posts s JOIN @f_posts p ON s.doc_id = p.doc_id""",
     "source_from_file": "SELECT doc_id, link, source, CAST(1 AS BIGINT) AS no_of_links FROM @f_posts",
@@ -469,21 +529,6 @@ SELECT concat_ws(',', event_id, user_id, event_type, value) AS value, CASE WHEN
 }
 
 
-# Entities of the given pages; the ampersand last, so that nothing is decoded twice.
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
-
-
-def _page_text() -> str:
-    text = "html"
-    for pattern in (tx.HIDDEN_BLOCKS, tx.TAGS):
-        text = f"regexp_replace({text}, '{pattern}', '', 'g')"
-    for entity, char in _ENTITIES.items():
-        quoted = char.replace("'", "''")
-        text = f"replace({text}, '{entity}', '{quoted}')"
-    return (f"SELECT page_id, url, replace(translate(regexp_replace({text}, '{_NON_ASCII}', '', 'g'), "
-            f"chr(10) || '''', ''), ',', ' ') AS text FROM pages")
-
-
-ORACLES["page_text"] = _page_text()
+ORACLES["page_text"] = _PAGE_TEXT
 ORACLES["mention_graph_sorted"] = ORACLES["mention_graph"] + " ORDER BY e.created_at DESC, repo1, repository_name, repo2"
 ORACLES = {name: oracle(sql) for name, sql in ORACLES.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.tables import Tables
+from checks.tables import CUT_SOURCE, FLOOR_SOURCE, Tables
 from repopulse import schemas
 from repopulse.functions import dates, sql
 from repopulse.functions import text as tx
@@ -15,7 +15,7 @@ from repopulse.operators import contributors as co
 from repopulse.operators import events as ev
 from repopulse.operators import features, keywords, mentions, metrics, normalize, ranking, repositories, scoring
 from repopulse.operators.metrics import AgeBand
-from repopulse.plans import feeds_job, graphs_job, lake_job, metrics_job, posts_job
+from repopulse.plans import feeds_job, graphs_job, lake_job, metrics_job, posts_job, sql_job
 from repopulse.schemas import METRICS, REPO_KEY
 from repopulse.session import cut_lineage, shared_path
 from repopulse.sources import feeds, files, responses
@@ -26,9 +26,9 @@ AS_OF = dt.datetime(2016, 6, 5)
 DETAILS_AS_OF = dt.datetime(2001, 12, 1)
 BASE_YEAR, YEARS = 1995, 3
 BANDS = [AgeBand(13, None, 50, 50), AgeBand(2, 12, 10, 10), AgeBand(1, 1, 5, 5)]
-FLOORS = {"dzone": dt.date(2015, 9, 1)}
+FLOORS = {FLOOR_SOURCE: dt.date(2015, 9, 1)}
 # Invented marks; the sources are those of the fixture views.
-MARKS = [("high_scalablity", dt.datetime(2016, 3, 1, 8)), ("regular_geek", dt.datetime(2016, 4, 15, 20)), ("dzone", dt.datetime(2016, 2, 10))]
+MARKS = [(CUT_SOURCE, dt.datetime(2016, 3, 1, 8)), ("plain_blog", dt.datetime(2016, 4, 15, 20)), (FLOOR_SOURCE, dt.datetime(2016, 2, 10))]
 LAST_RUN, LOAD_AS_OF = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
 PRUNE_AS_OF, PRUNE_MONTHS = dt.datetime(2001, 10, 20), 6
 
@@ -167,11 +167,14 @@ def sink_roundtrip(t):
 
 @query
 def file_freshness(t):
-    path = _path(t, "results")
+    """Every written result, and whether it is as new as this run; the shared folder's clock may be a little off."""
+    path, began = _path(t, "results"), dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=5)
     files.write_csv(t["f_repo"], f"{path}/repositories.csv")
     files.write_csv(repositories.project_recency(t["f_repository_info"]), f"{path}/project_recency.csv")
+    files.write_csv(t["f_timeline"], f"{path}/timeline.csv", ["event"])
     files.write_csv(t["f_repo"], f"{path}/{files.FRESHNESS_FILE}.csv")
-    return files.file_freshness(t.spark, path)
+    fresh = F.col("last_modified") >= F.timestamp_seconds(F.lit(began.timestamp()))
+    return files.file_freshness(t.spark, path).select("file_name", fresh.alias("is_new"))
 
 
 @query
@@ -280,9 +283,10 @@ def feed_load(t):
     lake = _path(t, "feeds")
     stamp = F.date_format("date_published", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     items = t["f_posts"].select("source", "doc_id", "title", F.col("content").alias("description"), "link", stamp.alias("pubDate"))
-    feeds_job.load_items(items.filter(F.col("pubDate") < "2016-01-01"), lake)
-    feeds_job.load_items(items, lake)
-    return t.spark.read.parquet(f"{lake}/posts").select("source", "doc_id", "date_published")
+    for given in (items.filter(F.col("pubDate") < "2016-01-01"), items):
+        feeds_job.load_items(given, lake, {}, t["f_pages"])
+    posts = t.spark.read.parquet(f"{lake}/posts")
+    return posts.select("source", "doc_id", "date_published", "link", F.md5(F.encode("content", "utf-8")).alias("content_md5"))
 
 
 @query
@@ -380,6 +384,13 @@ def repo_scores_features(t):
 
 @query
 def score_repos(t):
+    """Scores by a registry of forests that is a table."""
+    return scoring.score_by_nodes(_run(t).vectors, t["f_forest"])
+
+
+@query
+def score_repos_fitted(t):
+    """Scores by forests that are fitted here and laid down as a table."""
     vectors = cut_lineage(_run(t).vectors, "vectors")
     labels = t["labels"].select(F.concat(F.lit("repo"), "doc_id").alias("repo_name"),
                                 F.col("quality").alias("label"))
@@ -422,6 +433,19 @@ def sql_functions(t):
         lineitem=t["lineitem"], orders=t["orders"])
 
 
+@query
+def sql_results(t):
+    """One question in SQL text over results of two jobs and the SQL functions."""
+    run, tables = _run(t), {"repositories": t["f_repo"], "posts": t["f_posts"]}
+    return sql_job.ask(t.spark, """
+        SELECT get_index(r.repo_created_at) AS repo_index, c.month, count(*) AS repos, sum(c.watchers) AS watchers,
+               count(n.repo_name) AS normalized, max(p.n) AS posts
+        FROM cumulative c JOIN repositories r ON r.repository_owner = c.repo_owner AND r.repository_name = c.repo_name
+        LEFT JOIN normalized n ON n.repo_owner = c.repo_owner AND n.repo_name = c.repo_name AND n.month = c.month AND n.user_type = c.user_type
+        CROSS JOIN (SELECT count(*) AS n FROM posts) p
+        GROUP BY 1, 2""", run, tables, base_year=BASE_YEAR, years=YEARS)
+
+
 # ---------------------------------------------------------------- repository tables
 def _info(t):
     return repositories.consolidate(t["f_repository_info"], [F.col("doc_id")])
@@ -521,13 +545,13 @@ def page_text(t):
 
 @query
 def clean_feed_fields(t):
-    return feeds.clean_posts(t["f_posts"], {"high_scalablity": "The .*? the "})
+    return feeds.clean_posts(t["f_posts"], {CUT_SOURCE: "The .*? the "})
 
 
 @query
 def source_from_file(t):
     root = _path(t, "pages2")
-    for source in ("high_scalablity", "regular_geek", "dzone"):
+    for source, _ in MARKS:
         files.write_csv(t["f_posts"].filter(F.col("source") == source).select("doc_id", "link"),
                         f"{root}/dashboard_2ndpage_{source}.csv")
     schema = T.StructType().add("doc_id", "long").add("link", "string")
@@ -594,11 +618,8 @@ def tfidf_plain(t):
 @query
 def tfidf_hashed(t):
     clean = tx.clean_text_units(F.col("title"), F.col("content"))
-    lists = t["f_posts"].select("source", "doc_id", F.filter(
-        tx.spaced_words(clean), lambda w: tx.kept_word(w, keywords.ENGLISH)).alias("words"))
-    per_source = [keywords.tfidf_hashed(lists.filter(F.col("source") == s)) for s, _ in MARKS]
-    scored = functools.reduce(DataFrame.unionByName, per_source)
-    return scored.select("doc_id", F.size("words").alias("n_words"), F.col("tfidf").cast("string").alias("tfidf"))
+    vectors = keywords.tfidf_hashed(t["f_posts"], tx.spaced_words(clean))
+    return vectors.select("source", "doc_id", "n_words", F.inline_outer(F.arrays_zip("indices", "tf", "tfidf"))).withColumnRenamed("indices", "bucket")
 
 
 @query

@@ -9,6 +9,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from repopulse.operators import ranking
+from repopulse.sources import feeds
+
 
 VIEWS = {
     "f_repo": """
@@ -39,7 +42,7 @@ SELECT DISTINCT t.repository_owner || '/' || t.repository_name AS full_name,
 FROM @f_timeline t JOIN @f_repo r ON t.repository_owner = r.repository_owner AND t.repository_name = r.repository_name""",
     "f_posts": """
 SELECT doc_id,
-       CASE doc_id % 3 WHEN 0 THEN 'high_scalablity' WHEN 1 THEN 'regular_geek' ELSE 'dzone' END AS source,
+       CASE doc_id % 3 WHEN 0 THEN '$CUT' WHEN 1 THEN 'plain_blog' ELSE '$FLOOR' END AS source,
        CASE WHEN doc_id % 50 = 49 THEN NULL ELSE $TS '2016-06-05 00:00:00' - (doc_id % 400) * INTERVAL '1' DAY - (doc_id % 7) * INTERVAL '1' HOUR END AS date_published,
        CASE WHEN doc_id % 40 = 0 THEN 'Sponsored Post: ' ELSE '' END || lang || ' ' || source AS title,
        text AS content, 'post/' || CAST(doc_id AS STRING) || CASE WHEN doc_id % 5 = 0 THEN ',1' ELSE '' END AS link
@@ -84,6 +87,18 @@ FROM (SELECT *, CASE type
 SELECT CAST((s_suppkey * 37) % 100 AS DOUBLE) / 100 AS model_score, 'own' || CAST(s_suppkey % 20 AS STRING) AS repo_owner,
        'repo' || CAST(s_suppkey AS STRING) AS repo_name, r.user_type, r.repo_created_at
 FROM @supplier JOIN @f_repo r ON r.repository_name = 'repo' || CAST(s_suppkey AS STRING)""",
+    "f_forest": """
+SELECT CASE WHEN cohort % 2 = 0 THEN 'User' ELSE 'Organization' END AS user_type, CAST(1 + floor(cohort / 2) AS INT) AS month, tree, node,
+       CASE WHEN node < 7 THEN CAST((tree * 31 + cohort * 7 + node * 13) % (11 * (1 + floor(cohort / 2))) AS INT) END AS feature,
+       CASE WHEN node < 7 THEN CAST((tree * 17 + cohort * 5 + node * 3) % 40 AS DOUBLE) / 8 + 0.0137 END AS threshold,
+       CASE WHEN node < 7 THEN 2 * node + 1 END AS low, CASE WHEN node < 7 THEN 2 * node + 2 END AS high,
+       CASE WHEN node >= 7 THEN CAST((tree * 29 + cohort * 11 + node * 19) % 101 AS DOUBLE) / 101 END AS score
+FROM (SELECT CAST(n_nationkey AS INT) AS tree, CAST(floor(k / 15) AS INT) AS cohort, CAST(k % 15 AS INT) AS node
+      FROM (SELECT n_nationkey, explode(sequence(0, 539)) AS k FROM @nation) a) b""",
+    "f_pages": """
+SELECT page_id, CASE WHEN page_id % 9 > 6 THEN 'elsewhere/' WHEN page_id % 3 = 0 THEN 'HTTP://Post/' WHEN page_id % 3 = 1 THEN 'post/' ELSE ' post/' END || CAST(page_id AS STRING)
+       || CASE WHEN page_id % 5 = 0 THEN ',1' ELSE '' END || CASE page_id % 4 WHEN 0 THEN '/' WHEN 1 THEN '#top' ELSE '' END AS url, html
+FROM @pages""",
     "f_stop_lines": """
 SELECT replace(p_name, ' ', chr(9)) || '/' || p_brand || '.' || p_type || ' [' || chr(39) || p_name || chr(39) || ']' AS line FROM @part""",
     "f_lexicon": """
@@ -106,6 +121,10 @@ SELECT conv_id, turn, 'own/conv' || CAST(conv_id AS STRING) AS full_name,
 FROM @conversations""",
 }
 
+# Two source names matter to the operators and are taken from them; all others are invented.
+CUT_SOURCE, FLOOR_SOURCE = next(iter(feeds.BOILERPLATE_PATTERNS)), next(iter(ranking.DATE_FLOORS))
+VIEWS["f_posts"] = VIEWS["f_posts"].replace("$CUT", CUT_SOURCE).replace("$FLOOR", FLOOR_SOURCE)
+
 _REF = re.compile(r"@(\w+)")
 
 

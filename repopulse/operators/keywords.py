@@ -2,7 +2,6 @@
 
 from collections.abc import Iterable
 
-from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,10 +92,41 @@ def collect_top_words(posts: DataFrame, terms: DataFrame) -> DataFrame:
         F.coalesce("top_words", F.array().cast("array<string>")).alias("top_words"))
 
 
-def tfidf_hashed(token_lists: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """Hashed TF-IDF vectors of one source; ``token_lists`` has an array column ``words``."""
-    tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=buckets).transform(token_lists)
-    return IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf)
+def term_bucket(term: Column, buckets: int = HASH_BUCKETS) -> Column:
+    """The checksum of a term modulo the number of buckets."""
+    return F.pmod(F.crc32(term), F.lit(buckets)).cast("int")
+
+
+def hashed_counts(docs: DataFrame, split: Column, buckets: int = HASH_BUCKETS, stop_words: Iterable[str] = ENGLISH) -> DataFrame:
+    """(source, doc_id, n_words, counts): the buckets of each document's kept terms with their counts, made in its row."""
+    kept = F.filter(split, lambda w: tx.kept_word(w, list(stop_words)))
+    numbers = F.transform(kept, lambda w: term_bucket(w, buckets))
+    # a one-element array binds the numbers, else the clean-up would run for each use of them
+    return docs.select(*DOC, F.transform(F.array(numbers), lambda n: F.struct(
+        F.size(n).cast("long").alias("n_words"), tx.word_counts(n).alias("counts")))[0].alias("row")).select(*DOC, "row.*")
+
+
+def tfidf_hashed(docs: DataFrame, split: Column, buckets: int = HASH_BUCKETS, stop_words: Iterable[str] = ENGLISH,
+                 rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
+    """Sparse hashed TF-IDF vectors of all sources: (source, doc_id, n_words, indices, tf, tfidf), indices ascending.
+
+    tf * ln((n + 1) / (df + 1)) by bucket, within each source. Texts are read once and counted in their rows; only
+    buckets and counts are shuffled. A document without kept terms has an empty vector. ``docs`` has one
+    row per document.
+    """
+    rows = cut_lineage(hashed_counts(docs, split, buckets, stop_words), "hashed_counts")
+    entries = rows.select(*DOC, "n_words", F.inline_outer("counts")).withColumnRenamed("term", "bucket")
+    frequency = rows.select("source", F.explode("counts.term").alias("bucket")).groupBy("source", "bucket").agg(F.count("*").alias("df"))
+    frequency = cut_lineage(frequency, "bucket_frequencies")
+    # One row a source; broadcast, as a join on a handful of keys would put a vocabulary into one task.
+    n_docs = F.broadcast(rows.groupBy("source").agg(F.count("*").alias("n")))
+    idf = frequency.join(n_docs, "source").select("source", "bucket", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    hot = skew.hot_keys(frequency, ["source", "bucket"], rows_per_split, rows=F.col("df"))
+    weighed = skew.split_join(entries, idf, ["source", "bucket"], ["doc_id"], hot, how="left")
+    entry = F.when(F.col("bucket").isNotNull(), F.struct("bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+    vector = F.array_sort(F.collect_list(entry)).alias("entries")
+    return weighed.groupBy(*DOC, "n_words").agg(vector).select(
+        *DOC, "n_words", F.col("entries.bucket").alias("indices"), F.col("entries.tf").alias("tf"), F.col("entries.tfidf").alias("tfidf"))
 
 
 def stop_word_set(lines: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.functions import text as tx
+from repopulse.operators import skew
+from repopulse.session import cut_lineage
 
 # --- Fixed values: the forms of dates in feeds, after ``_plain_time`` ------------------------
 DATE_FORMATS = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z",
@@ -85,3 +87,30 @@ def merged_marks(old: DataFrame, new: DataFrame) -> DataFrame:
 def page_texts(pages: DataFrame) -> DataFrame:
     """Visible text of landed pages in stored form."""
     return pages.withColumn("text", tx.clean_feed_text(tx.page_text(F.col("html")))).drop("html")
+
+
+def link_key(link):
+    """One spelling of a link: no scheme, host in lower case, no fragment, no slashes at the end; NULL if nothing is left."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(link), r"#.*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    host = F.lower(F.regexp_extract(bare, r"^[^/?]*", 0))
+    key = F.regexp_replace(F.concat(host, F.substring(bare, F.length(host) + 1, F.length(bare))), "/+$", "")
+    return F.when(key != "", key)
+
+
+def with_page_text(posts: DataFrame, pages: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
+    """Posts with the visible text of their landed page behind their own content.
+
+    ``pages`` has (url, html) and meets posts by ``link_key``; of several pages with one key the one with the least url, then
+    html, counts. Only pages that a post asks for are moved. A page that very many posts link to is copied to
+    the tasks they are spread over. Posts without a page stay as they are; a missing content is empty before a page.
+    """
+    keyed = posts.withColumn("_key", link_key(F.col("link"))).withColumn("_row", F.monotonically_increasing_id())
+    keyed = cut_lineage(keyed, "posts_by_link")
+    wanted = keyed.select("_key").filter(F.col("_key").isNotNull()).distinct()
+    found = (pages.select(link_key(F.col("url")).alias("_key"), "url", "html").join(wanted, "_key", "left_semi")
+             .groupBy("_key").agg(F.min(F.struct("url", "html"))["html"].alias("_html"))
+             .select("_key", tx.page_text(F.col("_html")).alias("_page")))
+    hot = skew.hot_keys(keyed.filter(F.col("_key").isNotNull()), ["_key"], rows_per_split)
+    joined = skew.split_join(keyed, found, ["_key"], ["_row"], hot, how="left")
+    text = F.when(F.col("_page").isNull(), F.col("content")).otherwise(F.concat(F.coalesce("content", F.lit("")), "_page"))
+    return joined.withColumn("content", text).select(*posts.columns)
