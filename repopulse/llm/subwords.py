@@ -31,7 +31,7 @@ def default_vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
@@ -43,7 +43,7 @@ def with_leading_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     return np.insert(data, offsets[:-1], SPACE), offsets + np.arange(len(offsets))
 
 
-def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """data[start:start + size] of every span, joined."""
     ends = np.cumsum(size)
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
@@ -96,17 +96,17 @@ class _Segmented:
         _, place, inverse = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
         begin, sizes = start[place], (end - start)[place]
         marked = np.searchsorted(marks, begin) < np.searchsorted(marks, begin + sizes)
-        flat, counts = self._distinct(_gather(data, begin, sizes), sizes, marked)
+        flat, counts = self._distinct(gather(data, begin, sizes), sizes, marked)
         good = np.ones(texts, bool)
         good[text[(counts < 0)[inverse]]] = False
         counts = np.maximum(counts, 0)
         begin = (np.cumsum(counts) - counts)[inverse]
         each = counts[inverse] * good[text]
         per_text = np.bincount(text, weights=each, minlength=texts).astype(np.int64)
-        return _gather(flat, begin, each), per_text, good
+        return gather(flat, begin, each), per_text, good
 
 
-def _arrange(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+def arrange(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Parts (segments, their joined ids, ids of each) in the order of the segments."""
     counts, begin, base = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
     for which, ids, sizes in parts:
@@ -114,7 +114,7 @@ def _arrange(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) ->
         begin[which] = base + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
         base += len(ids)
     flat = np.concatenate([np.zeros(0, np.uint32), *[p[1] for p in parts]])
-    return _gather(flat, begin, np.maximum(counts, 0)), counts
+    return gather(flat, begin, np.maximum(counts, 0)), counts
 
 
 class ByteBpe(_Segmented):
@@ -138,7 +138,7 @@ class ByteBpe(_Segmented):
         if (rules["normalizer"] or cut["type"] != "ByteLevel" or cut["add_prefix_space"] or not cut["use_regex"]
                 or model["type"] != "BPE" or model.get("ignore_merges")):
             raise ValueError(f"{path} is no plain byte-level vocabulary")
-        letters = _byte_letters()
+        letters = byte_letters()
         ranks = {bytes(letters[c] for c in token): number for token, number in model["vocab"].items() if all(c in letters for c in token)}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [model["vocab"][a + b] for a, b in merges]
@@ -197,7 +197,7 @@ class ByteBpe(_Segmented):
         joined = ~strange & ~marked & WHITE[data[start]] & ~WHITE[data[end - 1]]
         which, parts = np.flatnonzero(joined), []
         if len(which):
-            text = _gather(data, start[which], sizes[which]).tobytes().decode()
+            text = gather(data, start[which], sizes[which]).tobytes().decode()
             ids = np.asarray(self.fast.encode_ordinary(text), np.uint32)
             parts.append((which, ids, self._split(ids, sizes[which])))
         rest = np.flatnonzero(~joined)
@@ -206,7 +206,7 @@ class ByteBpe(_Segmented):
             made = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
             ids = np.array([i for m in made for i in m], np.uint32)
             parts.append((rest, ids, np.array([len(m) for m in made], np.int64)))
-        return _arrange(parts, len(start))
+        return arrange(parts, len(start))
 
 
 class PieceBpe(_Segmented):
@@ -263,7 +263,7 @@ class PieceBpe(_Segmented):
             at = np.concatenate([[0], np.cumsum(sizes[which])])
             borders = np.flatnonzero(np.diff(at[1:] // CHUNK, prepend=0)).tolist()
             edges = sorted({0, *borders, len(which)})
-            text = _gather(data, start[which], sizes[which]).tobytes()
+            text = gather(data, start[which], sizes[which]).tobytes()
             calls = [text[at[a] : at[b]] for a, b in zip(edges[:-1], edges[1:], strict=True)]
             for a, b, call, ids in zip(edges[:-1], edges[1:], calls, self._encode(calls), strict=True):
                 if b"".join([self.token_bytes[i] for i in ids]) == call:
@@ -278,7 +278,7 @@ class PieceBpe(_Segmented):
             same = [b"".join([self.token_bytes[i] for i in m]) == t for m, t in zip(made, texts, strict=True)]
             ids = np.array([i for m, s in zip(made, same, strict=True) if s for i in m], np.uint32)
             parts.append((rest, ids, np.array([len(m) if s else -1 for m, s in zip(made, same, strict=True)], np.int64)))
-        return _arrange(parts, len(start))
+        return arrange(parts, len(start))
 
 
 def as_lists(ids: np.ndarray, counts: np.ndarray) -> pa.LargeListArray:

@@ -9,7 +9,8 @@ A look-up costs a constant number of probes; a key that is not there fails its f
 in four billion). Record offsets and doc_ids in order follow, so a shard can also be read through.
 
 Texts are encoded word by word: the vocabulary never joins across white space, so a word's ids are the same in
-every text, and each different word of a slice is encoded once, by the tokenizers library.
+every text, and each different word of a slice is encoded once. Texts are encoded where they are read; only packed
+ids are sorted and written.
 
 Files are written straight to the shared folder under a name of their own for each attempt; the manifest
 names those of the attempts that finished, so a lost executor or a repeated task leaves no wrong file in use.
@@ -25,7 +26,6 @@ import os
 import re
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,33 +35,50 @@ from pyspark.sql import functions as F
 
 from repopulse.llm.blocks import NO_ID
 from repopulse.llm.ship import ship
+from repopulse.llm.subwords import arrange, byte_letters, gather
 from repopulse.llm.words import mix, slices, text_buffer, words_in
 from repopulse.session import cut_lineage, shared_path
 
 END = 1
 MAGIC = b"RPIDS\x00\x00\x01"
-_PLAIN = re.compile(rb"[!-~]+")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Bytes of ids that a shard holds on average, above which there are more shards.
+SHARD_BYTES = 64 << 20
+#: Fixed value: the only pre-tokenizing pattern whose words may be cut here before the merges.
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PIECES = re.compile(f"\r|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017f0-9\r]+")
 
 
 class WordEncoder:
-    """Ids of single words; loaded once in a process, with a bounded memory of words."""
+    """Ids of different words of a vocabulary with word ends; loaded once in a process.
+
+    Words of Latin letters, digits and ASCII marks are cut into pieces here and merged by the same ranks in tiktoken,
+    a line feed standing for the end of a piece; all others are encoded by the tokenizers library.
+    """
 
     _loaded: dict[str, WordEncoder] = {}
-    WORDS, PIECES = 100_000, 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        rules = json.loads(self.tokenizer.to_str())
-        #: Fixed value: the only pre-tokenizing pattern whose ASCII words may be cut here before the merges.
-        known = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-        self.plain = known in json.dumps(rules["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
         self.size = self.tokenizer.get_vocab_size()
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        rules = json.loads(self.tokenizer.to_str())
+        model, letters = rules["model"], byte_letters()
+        vocab = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [vocab[a + b] for a, b in merges]
+        cut = json.dumps(rules["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
+        self.fast = None
+        if (WORD_PATTERN in cut and model["end_of_word_suffix"] == "</w>" and not model["ignore_merges"] and made == sorted(made)
+                and sorted(vocab[c] for c in letters) + sorted(vocab[c + "</w>"] for c in letters) == list(range(512)) and min(made) > 511):
+            ranks = {bytes(letters[c] for c in t.removesuffix("</w>")) + b"\n" * t.endswith("</w>"): n for t, n in vocab.items()}
+            self.fast = tiktoken.Encoding("words", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+            self.stop = ranks[b"\r\n"]
+        known = np.arange(256)
+        #: Bytes that lead elsewhere than to U+00C0 .. U+017F.
+        self.strange = (known >= 0xC6) | (known == 0xC2)
 
     @classmethod
     def load(cls, path: str) -> WordEncoder:
@@ -69,48 +86,47 @@ class WordEncoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def of(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word as unsigned 32-bit integers, packed."""
-        if len(self.words) > self.WORDS:
-            self.words.clear()
-        if len(self.pieces) > self.PIECES:
-            self.pieces.clear()
-        known, pieces = self.words, self.pieces
-        hard = []
-        for word in words:
-            if word in known:
-                continue
-            if self.plain and _PLAIN.fullmatch(word) and b"<|" not in word:
-                ids = b""
-                for piece in _PIECES.findall(word.decode("ascii").lower()):
-                    own = pieces.get(piece)
-                    if own is None:
-                        own = pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
-                    ids += own
-                known[word] = ids
-            else:
-                hard.append(word)
-        if hard:
-            for word, made in zip(hard, self.tokenizer.encode_batch([w.decode() for w in hard], add_special_tokens=False), strict=True):
-                known[word] = array("I", made.ids).tobytes()
-        return [known[w] for w in words]
+    def distinct(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words that follow one another in ``data``, joined, and the number of ids of each."""
+        end = np.cumsum(sizes)
+        start = end - sizes
+        after = np.append(data[1:], 0)
+        # the capital I with a dot becomes two letters, and "<|" may begin a special token
+        odd = self.strange[data] | (data == 0xC4) & (after == 0xB0) | (data == ord("<")) & (after == ord("|"))
+        plain = ~np.logical_or.reduceat(odd, start) if self.fast else np.zeros(len(sizes), bool)
+        which, parts = np.flatnonzero(plain), []
+        if len(which):
+            n = sizes[which]
+            joined = np.full(int(n.sum()) + len(n), ord("\r"), np.uint8)
+            keep = np.ones(len(joined), bool)
+            keep[np.cumsum(n + 1) - 1] = False
+            joined[keep] = gather(data, start[which], n)
+            pieces = _PIECES.findall(joined.tobytes().decode().lower())
+            ids = np.asarray(self.fast.encode_ordinary("\n".join(pieces) + "\n"), np.uint32)
+            stops = np.flatnonzero(ids == self.stop)
+            parts.append((which, ids[ids != self.stop], np.diff(stops, prepend=-1) - 1))
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            words = [data[a:b].tobytes().decode() for a, b in zip(start[rest].tolist(), end[rest].tolist(), strict=True)]
+            made = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            parts.append((rest, np.array([i for m in made for i in m], np.uint32), np.array([len(m) for m in made], np.int64)))
+        return arrange(parts, len(sizes))
 
 
 def encode_texts(column, encoder: WordEncoder, end: int = END) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, one after the other, each with the end id; and the number of ids of each text."""
     data, offsets = text_buffer(column)
     words = words_in(data, offsets)
-    keys, place, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    made = encoder.of([raw[a:b] for a, b in zip(words.start[place].tolist(), words.end[place].tolist(), strict=True)])
-    sizes = np.array([len(m) for m in made], np.int64) // 4
-    flat = np.frombuffer(b"".join(made), np.uint32)
-    begin = np.cumsum(sizes) - sizes
-    each = sizes[inverse]
+    if not len(words.hash):
+        return np.full(len(offsets) - 1, end, np.uint32), np.ones(len(offsets) - 1, np.int64)
+    _, place, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+    sizes = (words.end - words.start)[place]
+    flat, counts = encoder.distinct(gather(data, words.start[place], sizes), sizes)
+    each = counts[inverse]
     ahead = np.concatenate([[0], np.cumsum(each)])
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(words.first))
     out = np.full(int(ahead[-1]) + len(offsets) - 1, end, np.uint32)
-    out[np.arange(ahead[-1]) + np.repeat(text, each)] = flat[np.arange(ahead[-1]) + np.repeat(begin[inverse] - ahead[:-1], each)]
+    out[np.arange(ahead[-1]) + np.repeat(text, each)] = gather(flat, (np.cumsum(counts) - counts)[inverse], each)
     return out, ahead[words.first[1:]] - ahead[words.first[:-1]] + 1
 
 
@@ -219,29 +235,58 @@ def default_vocabulary() -> str:
 _MANIFEST = "shard long, payload string, index string, low long, high long, n_docs long, n_ids long, width int"
 
 
+def encode_documents(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
+    """(doc_id, row, n, ids): the packed ids of every document, made where its text is read."""
+
+    def run(batches):
+        encoder = WordEncoder.load(vocabulary)
+        width = np.dtype(f"<u{id_width(encoder, end)}")
+        for batch in slices(batches):
+            ids, sizes = encode_texts(batch.column(1), encoder, end)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]) * width.itemsize
+            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype(width))])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(sizes), packed.cast(pa.binary())], names=["doc_id", "row", "n", "ids"])
+
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
+    # the row number spreads a doc_id that very many rows repeat over several shards
+    given = docs.select(ids, F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    return given.mapInArrow(run, "doc_id long, row long, n long, ids binary")
+
+
+def id_width(encoder: WordEncoder, end: int) -> int:
+    return 2 if max(encoder.size, end + 1) <= 1 << 16 else 4
+
+
 def write_shards(docs: DataFrame, vocabulary: str | None = None, folder: str | None = None, shards: int | None = None, end: int = END) -> DataFrame:
-    """Encode and write all documents; gives the manifest: one row a shard, with ``start``, the ids before it."""
+    """Encode and write all documents; gives the manifest: one row a shard, with ``start``, the ids before it.
+
+    There are as many shards as shuffle partitions, or more so that one holds about ``SHARD_BYTES``.
+    """
     spark = ship(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
     folder = folder or shared_path(spark, "token-files")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written, as the ranges are sampled before the rows are sorted into them
+    encoded = cut_lineage(encode_documents(docs, vocabulary, end), "encoded-documents")
+    if shards is None:
+        size = encoded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * id_width(WordEncoder.load(vocabulary), end)
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
     def run(batches):
         from pyspark import TaskContext
 
         shard, name = TaskContext.get().partitionId(), uuid.uuid4().hex
-        encoder = WordEncoder.load(vocabulary)
-        width = 2 if max(encoder.size, end + 1) <= 1 << 16 else 4
+        width = id_width(WordEncoder.load(vocabulary), end)
         payload, index = f"{folder}/{shard:06d}-{name}.ids", f"{folder}/{shard:06d}-{name}.idx"
         ids, lengths, out = [], [], None
-        for batch in slices(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             if out is None:
                 out = _write(payload)
                 out.write(MAGIC + width.to_bytes(8, "little"))
-            tokens, sizes = encode_texts(batch.column(1), encoder, end)
-            out.write(tokens.astype(f"<u{width}").tobytes())
+            out.write(text_buffer(batch.column(2))[0].tobytes())
             ids.append(np.asarray(batch.column(0)))
-            lengths.append(sizes)
+            lengths.append(np.asarray(batch.column(1)))
         if out is None:
             return
         out.close()
@@ -252,11 +297,8 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, folder: str | N
         yield pa.record_batch([pa.array([x]) if i < 7 else pa.array([x], pa.int32()) for i, x in enumerate(row)],
                               names=[f.split()[0] for f in _MANIFEST.split(", ")])
 
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
-    # the row number spreads a doc_id that very many rows repeat over several shards
-    given = docs.select(ids, F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    ordered = given.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row")
-    made = cut_lineage(ordered.select("doc_id", "text").mapInArrow(run, _MANIFEST), "token-manifest")
+    ordered = encoded.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    made = cut_lineage(ordered.select("doc_id", "n", "ids").mapInArrow(run, _MANIFEST), "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))  # one row a shard
 
