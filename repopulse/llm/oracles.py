@@ -26,18 +26,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
          list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(ps, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
 FROM t LEFT JOIN lost USING (doc_id)""",
     "op6_chat_formatting": r"""
-WITH t AS (SELECT conv_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said FROM conversations
+WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said FROM conversations
            WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
-p AS (SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, CAST(turn AS BIGINT) AS turn,
-             min(CASE WHEN conv_id % 2 = 0 THEN said END) AS chosen, min(CASE WHEN conv_id % 2 <> 0 THEN said END) AS rejected
-      FROM t GROUP BY 1, 2),
-d AS (SELECT pair_id, min(CASE WHEN chosen IS DISTINCT FROM rejected THEN turn END) AS parted FROM p GROUP BY pair_id),
-s AS (SELECT p.pair_id, turn, 'prompt' AS segment, chosen AS said FROM p JOIN d USING (pair_id) WHERE parted IS NULL OR turn < parted
-      UNION ALL SELECT p.pair_id, turn, 'chosen', chosen FROM p JOIN d USING (pair_id) WHERE turn >= parted AND chosen IS NOT NULL
-      UNION ALL SELECT p.pair_id, turn, 'rejected', rejected FROM p JOIN d USING (pair_id) WHERE turn >= parted AND rejected IS NOT NULL)
-SELECT pair_id, segment, turn, said.role AS role, '<|' || said.role || '|>' || chr(10) || said.text || chr(10) AS rendered,
-       segment <> 'prompt' AND said.role = 'assistant' AS loss
-FROM s""",
+l AS (SELECT conv_id, max(turn) AS turn, arg_max(said.text, turn) AS text FROM t WHERE said.role = 'assistant' GROUP BY conv_id),
+y AS (SELECT l.conv_id, l.turn, o.text FROM l JOIN l o ON o.conv_id = CASE WHEN l.conv_id % 2 = 0 THEN l.conv_id + 1 ELSE l.conv_id - 1 END),
+b AS (SELECT t.conv_id AS pair_id, t.turn, t.said AS chosen,
+             CASE WHEN y.conv_id IS NOT NULL THEN {'role': said.role, 'text': CASE WHEN t.turn = y.turn THEN y.text ELSE said.text END} END AS rejected
+      FROM t LEFT JOIN y ON y.conv_id = t.conv_id),
+d AS (SELECT pair_id, min(CASE WHEN chosen IS DISTINCT FROM rejected THEN turn END) AS parted FROM b GROUP BY pair_id),
+s AS (SELECT b.pair_id, turn, 'prompt' AS segment, chosen AS said FROM b JOIN d USING (pair_id) WHERE parted IS NULL OR turn < parted
+      UNION ALL SELECT b.pair_id, turn, 'chosen', chosen FROM b JOIN d USING (pair_id) WHERE turn >= parted
+      UNION ALL SELECT b.pair_id, turn, 'rejected', rejected FROM b JOIN d USING (pair_id) WHERE turn >= parted AND rejected IS NOT NULL),
+r AS (SELECT pair_id, CAST(floor(turn / 64) AS BIGINT) AS stretch, turn, segment, segment <> 'prompt' AND said.role = 'assistant' AS loss,
+             '<|' || said.role || '|>' || chr(10) || said.text || chr(10) AS rendered, length(said.role) + 5 AS head FROM s),
+o AS (SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, stretch, segment ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM r)
+SELECT pair_id, stretch, coalesce(string_agg(rendered, '' ORDER BY turn) FILTER (segment = 'prompt'), '') AS prompt,
+       coalesce(string_agg(rendered, '' ORDER BY turn) FILTER (segment = 'chosen'), '') AS chosen,
+       coalesce(string_agg(rendered, '' ORDER BY turn) FILTER (segment = 'rejected'), '') AS rejected,
+       coalesce(string_agg(concat(ahead + head, ':', ahead + length(rendered)), ' ' ORDER BY turn) FILTER (segment = 'chosen' AND loss), '') AS chosen_mask,
+       coalesce(string_agg(concat(ahead + head, ':', ahead + length(rendered)), ' ' ORDER BY turn) FILTER (segment = 'rejected' AND loss), '') AS rejected_mask
+FROM o GROUP BY pair_id, stretch""",
     "op13_periodic_runs": f"""
 WITH t AS (SELECT doc_id, {_WORDS} AS w,
   xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),

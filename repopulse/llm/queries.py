@@ -77,9 +77,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of prompt and completions of neighbouring conversations."""
-    turns = _table(spark, sf_dir, "conversations")
-    return preferences.segments(turns, preferences.neighbours(turns)).drop("text")
+    """Prompt and masked completions of every conversation, against itself with another one's last reply."""
+    rows = preferences.rows_of_pairs(preferences.segments(preferences.swapped_replies(_table(spark, sf_dir, "conversations"))))
+    spans = [F.array_join(F.transform(c, lambda m: F.concat_ws(":", m["start"], m["end"])), " ").alias(c) for c in ("chosen_mask", "rejected_mask")]
+    return rows.select("pair_id", "stretch", "prompt", "chosen", "rejected", *spans)
 
 
 @query

@@ -272,7 +272,7 @@ def test_preferences(spark):
              (2, 0, "user", "alone", 1), (2, 1, "assistant", None, 1), (4, 0, None, None, 1), (5, 0, "", "", 1), (5, 0, "", "", 1),
              (7, 0, "user", "right only", 1), (None, 0, "user", "x", 1), (8, None, "user", "x", 1)]
     given = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string, pair_id int")
-    parts = preferences.segments(given, preferences.neighbours(given))
+    parts = preferences.segments(preferences.sides_of(given, preferences.neighbours(given)))
     got = sorted((r.pair_id, r.segment, r.turn, r.role, r.loss) for r in parts.collect())
     assert got == sorted([
         (0, "prompt", 0, "user", False), (0, "prompt", 1, "assistant", False), (0, "chosen", 2, "user", False), (0, "chosen", 3, "assistant", True),
@@ -280,15 +280,47 @@ def test_preferences(spark):
         (2, "prompt", 0, "", False), (3, "rejected", 0, "user", False)])
     row = preferences.rows_of_pairs(parts).where("pair_id = 0").first()
     assert row.prompt == "<|user|>\nhi\n<|assistant|>\nyes\n"
-    assert [row.chosen[s.start : s.end] for s in row.chosen_mask] == ["<|assistant|>\ngood\n"]
-    assert [row.rejected[s.start : s.end] for s in row.rejected_mask] == ["<|assistant|>\nbad\n"]
+    assert [row.chosen[s.start : s.end] for s in row.chosen_mask] == ["good\n"]
+    assert [row.rejected[s.start : s.end] for s in row.rejected_mask] == ["bad\n"]
     empty = given.limit(0)
-    assert preferences.segments(empty, preferences.neighbours(empty)).isEmpty()
+    assert preferences.segments(preferences.sides_of(empty, preferences.neighbours(empty))).isEmpty()
+    assert preferences.rows_of_pairs(preferences.segments(preferences.swapped_replies(empty))).isEmpty()
+
+
+def test_swapped_replies(spark):
+    rng = random.Random(6)
+    said = {}
+    for c in range(-2, 12):
+        for t in sorted(rng.sample(range(200), rng.randrange(0, 9))):
+            said[c, t] = (rng.choice(["user", "assistant", "system"]), rng.choice(["a", "b c", "é\n", ""]))
+    said |= {(20, t): ("assistant" if t % 2 else "user", f"t{t}") for t in range(300)} | {(21, 0): ("assistant", "short")}
+    rows = [(c, t, r or None, x or None) for (c, t), (r, x) in said.items()] + [(None, 0, "user", "x"), (3, None, "assistant", "x")]
+    given = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    turns = {c: sorted((t, *said[c, t]) for c2, t in said if c2 == c) for c, _ in said}
+    last = {c: max((t for t in own if t[1] == "assistant"), default=None) for c, own in turns.items()}
+    want = {}
+    for c, own in turns.items():
+        other = last.get(c ^ 1)
+        rejected = [(t, r, other[2] if (t, r, x) == last[c] else x) for t, r, x in own] if last[c] and other else []
+        common = next((i for i, (x, y) in enumerate(zip(own, rejected, strict=False)) if x != y), min(len(own), len(rejected)))
+        for name, side in (("prompt", own[:common]), ("chosen", own[common:]), ("rejected", rejected[common:])):
+            for t, r, x in side:
+                row = want.setdefault((c, t // 64), {"prompt": "", "chosen": "", "rejected": "", "loss": {"chosen": [], "rejected": []}})
+                row[name] += f"<|{r}|>\n{x}\n"
+                if name != "prompt" and r == "assistant":
+                    row["loss"][name].append(x + "\n")
+    got = preferences.rows_of_pairs(preferences.segments(preferences.swapped_replies(given))).collect()
+    assert len(got) == len(want) and any(r.prompt and r.chosen and r.rejected for r in got)
+    for r in got:
+        w = want[r.pair_id, r.stretch]
+        assert (r.prompt, r.chosen, r.rejected) == (w["prompt"], w["chosen"], w["rejected"])
+        assert [r.chosen[m.start : m.end] for m in r.chosen_mask] == w["loss"]["chosen"]
+        assert [r.rejected[m.start : m.end] for m in r.rejected_mask] == w["loss"]["rejected"]
 
 
 def test_native_formatting_has_no_python(spark, capsys):
     given = spark.createDataFrame([(0, 0, "user", "hi")], "conv_id long, turn int, role string, text string")
-    preferences.segments(given, preferences.neighbours(given)).explain()
+    preferences.rows_of_pairs(preferences.segments(preferences.swapped_replies(given))).explain()
     plan = capsys.readouterr().out
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
 
