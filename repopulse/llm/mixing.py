@@ -3,13 +3,14 @@
 Every document gets a fractional number of copies, its source's target over its source's size. Whole copies
 are taken as they are; the fractions are rounded in pairs: one document's fraction rises and the other's
 falls by as many words, at random in such a way that expectations stay, until one of the two is whole. So the
-words of a pair, hence of a source, never change, and only the last document of a source rounds alone, to
-the nearer number: a source's taken words differ from its target by at most half a document.
+words of a pair, hence of a source, never change. The longer of the two is mostly the one that stays open, so a few
+documents of each length are held back, and at the source's end the last open document and those are rounded
+together, long ones first, each to what the shorter ones can still make good: a source's taken words differ from
+its target by about half of its shortest documents, where its lengths allow that.
 
 Pairs are met along a reduction tree. Rows are dealt by hash into buckets of about ``BUCKET_ROWS`` rows of one source;
-each bucket leaves at most one fractional row; those of ``FAN_IN`` buckets meet in the next level, and so
-on to the source's last. Large documents are paired first, so it is mostly a short one that rounds alone. Random
-numbers are hashes of the rows, so reruns agree.
+each bucket leaves one open row and ``HELD_BACK`` for each power of two of lengths; those of ``FAN_IN`` buckets meet in
+the next level, and so on to the source's end. Random numbers are hashes of the rows, so reruns agree.
 
 Results: sources in code point order, null last, have the weights in turn; a missing text has size 0; a document of
 size 0 takes 0 words (its copies are rounded by themselves); repeated rows are rounded each; no documents, no rows.
@@ -27,7 +28,7 @@ from repopulse.llm.ship import ship
 from repopulse.session import cut_lineage
 
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
-BUCKET_ROWS, FAN_IN = 2_000, 1_024
+BUCKET_ROWS, FAN_IN, HELD_BACK = 2_000, 1_024, 2
 #: Sources up to this number are broadcast; more are joined by shuffle.
 FEW_SOURCES = 10_000
 
@@ -89,10 +90,44 @@ def pivot(chances: list[float], sizes: list[int], keys: list[int], close: float
     return chances, left
 
 
+def held_back(chances: list[float], sizes: list[int], keys: list[int]) -> list[int]:
+    """Places of open rows to be rounded last: the first ``HELD_BACK`` by key of each power of two of sizes."""
+    classes: dict[int, list[tuple[int, int]]] = {}
+    for j, p in enumerate(chances):
+        if sizes[j] and 0 < p < 1:
+            classes.setdefault(sizes[j].bit_length(), []).append((keys[j], j))
+    return sorted(j for own in classes.values() for _, j in sorted(own)[:HELD_BACK])
+
+
+def settle(chances: list[float], sizes: list[int], places: list[int]) -> list[float]:
+    """Round the rows at ``places`` so that their words come near what they sum to: long ones first, a row being taken if its
+    words are still due, or if the shorter ones can't make them good as nearly."""
+    chances, order = list(chances), sorted(places, key=lambda j: -sizes[j])
+    due, rest = sum(chances[j] * sizes[j] for j in order), sum(sizes[j] for j in order)
+    for j in order:
+        rest -= sizes[j]
+        take = due >= sizes[j] or due > rest and sizes[j] - due < due - rest
+        chances[j] = float(take)
+        due -= sizes[j] * take
+    return chances
+
+
+def round_group(chances: list[float], sizes: list[int], keys: list[int], last: bool) -> list[float]:
+    """Pairs of a group rounded; what is held back and the last open row stay as they are, or are closed if ``last``."""
+    held = held_back(chances, sizes, keys)
+    kept = set(held)
+    others = [j for j in range(len(chances)) if j not in kept]
+    made, left = pivot([chances[j] for j in others], [sizes[j] for j in others], [keys[j] for j in others])
+    out = list(chances)
+    for j, x in zip(others, made, strict=True):
+        out[j] = x
+    return settle(out, sizes, held if left is None else [*held, others[left]]) if last else out
+
+
 def _level(rows: DataFrame, group: list[str], last: bool) -> DataFrame:
-    """Round the fractions of each group; ``chance`` is then 0 or 1 but for one row a group (none if last).
+    """Round the fractions of each group (``round_group``) and number its rows in ``_slot`` where they have no number yet.
 
-    rows ends with group, _order, _size, chance; a group's rows are bounded by how they were dealt.
+    rows has group, _order, _size, _slot, chance; a group's rows are bounded by how they were dealt.
     """
     schema = rows.schema
     names = [f.name for f in schema]
@@ -104,10 +139,11 @@ def _level(rows: DataFrame, group: list[str], last: bool) -> DataFrame:
         def flush():
             batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             keys = [k & 0xFFFFFFFFFFFFFFFF for k in batch.column(names.index("_order")).to_pylist()]
-            chances, left = pivot(batch.column(names.index("chance")).to_pylist(), batch.column(names.index("_size")).to_pylist(), keys)
-            if last and left is not None:
-                chances[left] = float(chances[left] >= 0.5)
-            return batch.set_column(names.index("chance"), "chance", pa.array(chances, pa.float64()))
+            chances = round_group(batch.column(names.index("chance")).to_pylist(), batch.column(names.index("_size")).to_pylist(), keys, last)
+            batch = batch.set_column(names.index("chance"), "chance", pa.array(chances, pa.float64()))
+            if batch.column(names.index("_slot"))[0].as_py() < 0:
+                batch = batch.set_column(names.index("_slot"), "_slot", pa.array(np.arange(batch.num_rows)))
+            return batch
 
         for batch in batches:
             if not batch.num_rows:
@@ -144,22 +180,22 @@ def _mixed(docs: DataFrame, keep: list[int], weights, share, most) -> DataFrame:
     rows = given.join(side, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of")
     rows = (rows.withColumn("_wanted", F.least(wanted, F.lit(float(most)))).withColumn("_whole", F.floor("_wanted").cast("int"))
             .withColumn("_bucket", F.pmod(F.xxhash64("_order", F.lit(3)), F.col("_buckets")))
-            .withColumn("chance", F.col("_wanted") - F.col("_whole")).drop("_wanted", "_buckets"))
+            .withColumn("_slot", F.lit(-1).cast("long")).withColumn("chance", F.col("_wanted") - F.col("_whole")).drop("_wanted", "_buckets"))
     first = cut_lineage(_level(rows, ["_source", "_bucket"], last=False), "mix-rows")
     open_ = (F.col("chance") > 0) & (F.col("chance") < 1)
-    left = first.where(open_).select("_source", "_bucket", F.col("_bucket").alias("_group"), "_order", "_size", "chance")
+    left = first.where(open_).select("_source", "_bucket", F.col("_bucket").alias("_group"), "_order", "_size", "_slot", "chance")
     done, span = None, -(-(facts[1] or 0) // BUCKET_ROWS)
     while True:
         span = -(-span // FAN_IN)
         top = span <= 1
         level = cut_lineage(_level(left.withColumn("_group", F.floor(F.col("_group") / FAN_IN).cast("long")), ["_source", "_group"], last=top), "mix-level")
-        whole = level.where(~open_).select("_source", "_bucket", "chance")
+        whole = level.where(~open_).select("_source", "_bucket", "_slot", "chance")
         done = whole if done is None else done.unionByName(whole)
         if top:
             break
         left = level.where(open_)
-    done = done.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.col("chance").alias("_last"))
-    joined = first.join(done, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")), "left")
+    done = done.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.col("_slot").alias("_n"), F.col("chance").alias("_last"))
+    joined = first.join(done, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")) & (F.col("_slot") == F.col("_n")), "left")
     copies = F.col("_whole") + F.when(open_, F.coalesce("_last", F.lit(0.0))).otherwise(F.col("chance")).cast("int")
     return joined.select(*(f"_{i}" for i in range(len(keep))), "_size", "_source_size", "_target", copies.alias("_copies"))
 

@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+
 from repopulse.llm import attention, blocks, decontamination, line_quality, mixing, near_dedup, toxicity, words
 from repopulse.llm import token_files as tf
 
@@ -271,3 +273,60 @@ def test_word_by_word_ids_equal_the_tokenizers():
     ends = np.cumsum(sizes)
     for text, low, high in zip(texts, (ends - sizes).tolist(), ends.tolist(), strict=True):
         assert ids[low:high].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, tf.END]
+
+
+def test_settled_rows_come_near_their_words():
+    rng = random.Random(9)
+    for _ in range(300):
+        sizes = [rng.choice([1, 2, 3, 5, 9, 20, 50, 400, 2500, 20_000]) for _ in range(rng.randrange(1, 30))] + [1, 2, 3, 5, 9, 17, 33, 65, 129, 257, 513, 1025, 2049, 4097, 8193] * 2
+        chances = [rng.random() for _ in sizes]
+        made = mixing.settle(chances, sizes, range(len(sizes)))
+        assert set(made) <= {0.0, 1.0}
+        assert abs(sum(a * b for a, b in zip(made, sizes)) - sum(a * b for a, b in zip(chances, sizes))) <= 2
+    assert mixing.settle([0.4], [7], [0]) == [0.0] and mixing.settle([0.6], [7], [0]) == [1.0]
+    assert mixing.settle([0.3, 0.5], [7, 7], [1]) == [0.3, 0.0] and mixing.settle([], [], []) == []
+
+
+def test_groups_keep_their_words_and_hold_some_back():
+    rng = random.Random(10)
+    sizes = [rng.choice([0, *(1 << k for k in range(13))]) for _ in range(400)]
+    chances, keys = [rng.random() for _ in sizes], [rng.getrandbits(64) for _ in sizes]
+    made = mixing.round_group(chances, sizes, keys, last=False)
+    is_open = [j for j, x in enumerate(made) if 0 < x < 1]
+    assert len(is_open) <= 2 * 13 + 1 and set(mixing.held_back(chances, sizes, keys)) <= set(is_open)
+    words = lambda c: sum(a * b for a, b in zip(c, sizes))
+    assert words(made) == pytest.approx(words(chances))
+    closed = mixing.round_group(chances, sizes, keys, last=True)
+    assert set(closed) <= {0.0, 1.0} and abs(words(closed) - words(chances)) <= 1
+
+
+def test_small_sources_meet_their_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    made = mixing.mix(docs).groupBy("target", "source_size").agg(F.sum("taken").alias("taken")).collect()
+    assert len(made) > 10 and max(abs(r.taken / r.target - 1) for r in made) < 0.002
+
+
+def test_shards_of_repeated_ids():
+    rng = random.Random(3)
+    for _ in range(100):
+        rows = [(rng.choice([tf.NO_ID, -5, 0, 1, 2, 7, 7, 7]), i) for i in range(rng.randrange(0, 40))]
+        starts = sorted(rng.sample(rows, rng.randrange(0, len(rows) + 1)))
+        ids, numbers = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+        got = tf.shard_of(tuple(np.array([s[k] for s in starts], np.int64) for k in (0, 1)), ids, numbers)
+        assert got.tolist() == [sum(s <= r for s in starts) for r in rows]
+
+
+def test_words_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path, rng = tf.default_vocabulary(), random.Random(5)
+    whole, encoder = Tokenizer.from_file(path), tf.WordEncoder.load(path)
+    parts = [*"aAbBiIzZ09's'tll.,!<|>-_\x1c\x00\x7f", *"ÉßİıſŸŉĀµª²漢é", "\u0301", "×", "÷", "😀", "<|endoftext|>", "\xa0", " ", " ", "\n", "\t", "ing", "'re", "'ve"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["", None, "a" * 3000]
+    ids, sizes = tf.encode_texts(pa.array(texts, pa.string()), encoder)
+    ends = np.cumsum(sizes)
+    assert encoder.fast
+    for text, a, b in zip(texts, ends - sizes, ends, strict=True):
+        assert ids[a:b].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, tf.END], text
+    ids, sizes = tf.encode_texts(pa.array([None, " "], pa.string()), encoder)
+    assert ids.tolist() == [tf.END] * 2 and sizes.tolist() == [1, 1]
