@@ -41,8 +41,8 @@ from repopulse.session import cut_lineage, shared_path
 
 END = 1
 MAGIC = b"RPIDS\x00\x00\x01"
-#: Bytes of ids that a shard holds on average, above which there are more shards.
-SHARD_BYTES = 64 << 20
+#: Bytes of text that a shard's ids stand for on average, above which there are more shards.
+SHARD_BYTES = 128 << 20
 #: Fixed value: the only pre-tokenizing pattern whose words may be cut here before the merges.
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PIECES = re.compile(f"\r|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017f0-9\r]+")
@@ -235,22 +235,38 @@ def default_vocabulary() -> str:
 _MANIFEST = "shard long, payload string, index string, low long, high long, n_docs long, n_ids long, width int"
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
-    """(doc_id, row, n, ids): the packed ids of every document, made where its text is read."""
+def shard_starts(keys: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first (doc_id, row) of every shard but the first one; one row a shard comes to the driver."""
+    ranged = keys.repartitionByRange(shards, "doc_id", "row").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("doc_id", "row")).alias("k"))
+    found = sorted((r.k.doc_id, r.k.row) for r in ranged.collect())[1:]
+    return np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
+
+
+def shard_of(starts: tuple[np.ndarray, np.ndarray], ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The shard of each (doc_id, row); rows of one doc_id may be spread over several."""
+    shard, same = np.searchsorted(starts[0], ids, "left"), np.searchsorted(starts[0], ids, "right")
+    for key in np.unique(ids[same > shard]).tolist():  # doc_ids at which a shard begins
+        own = ids == key
+        low, high = np.searchsorted(starts[0], key, "left"), np.searchsorted(starts[0], key, "right")
+        shard[own] = low + np.searchsorted(starts[1][low:high], rows[own], "right")
+    return shard
+
+
+def encode_documents(docs: DataFrame, vocabulary: str, starts: tuple[np.ndarray, np.ndarray], end: int = END) -> DataFrame:
+    """(shard, doc_id, row, n, ids): the packed ids of every document, made where its text is read."""
 
     def run(batches):
         encoder = WordEncoder.load(vocabulary)
         width = np.dtype(f"<u{id_width(encoder, end)}")
         for batch in slices(batches):
             ids, sizes = encode_texts(batch.column(1), encoder, end)
+            shard = shard_of(starts, np.asarray(batch.column(0)), np.asarray(batch.column(2)))
             bounds = np.concatenate([[0], np.cumsum(sizes)]) * width.itemsize
             packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype(width))])
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(sizes), packed.cast(pa.binary())], names=["doc_id", "row", "n", "ids"])
+            yield pa.record_batch([pa.array(shard.astype(np.int32)), batch.column(0), batch.column(2), pa.array(sizes), packed.cast(pa.binary())],
+                                  names=["shard", "doc_id", "row", "n", "ids"])
 
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
-    # the row number spreads a doc_id that very many rows repeat over several shards
-    given = docs.select(ids, F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    return given.mapInArrow(run, "doc_id long, row long, n long, ids binary")
+    return docs.select("doc_id", "text", "row").mapInArrow(run, "shard int, doc_id long, row long, n long, ids binary")
 
 
 def id_width(encoder: WordEncoder, end: int) -> int:
@@ -265,11 +281,14 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, folder: str | N
     spark = ship(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
     folder = folder or shared_path(spark, "token-files")
-    # written, as the ranges are sampled before the rows are sorted into them
-    encoded = cut_lineage(encode_documents(docs, vocabulary, end), "encoded-documents")
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
+    # the row number spreads a doc_id that very many rows repeat over several shards
+    given = docs.select(ids, F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
     if shards is None:
-        size = encoded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * id_width(WordEncoder.load(vocabulary), end)
+        size = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    # found by the keys alone, so that ids are made once and moved once
+    starts = shard_starts(given.select("doc_id", "row"), shards)
 
     def run(batches):
         from pyspark import TaskContext
@@ -297,7 +316,8 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, folder: str | N
         yield pa.record_batch([pa.array([x]) if i < 7 else pa.array([x], pa.int32()) for i, x in enumerate(row)],
                               names=[f.split()[0] for f in _MANIFEST.split(", ")])
 
-    ordered = encoded.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    encoded = encode_documents(given, vocabulary, starts, end)
+    ordered = encoded.repartitionById(len(starts[0]) + 1, "shard").sortWithinPartitions("doc_id", "row")
     made = cut_lineage(ordered.select("doc_id", "n", "ids").mapInArrow(run, _MANIFEST), "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))  # one row a shard
