@@ -330,3 +330,49 @@ def test_words_are_encoded_as_the_library_does():
         assert ids[a:b].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, tf.END], text
     ids, sizes = tf.encode_texts(pa.array([None, " "], pa.string()), encoder)
     assert ids.tolist() == [tf.END] * 2 and sizes.tolist() == [1, 1]
+
+
+def test_every_text_has_a_window_to_learn():
+    from repopulse.llm import lm_scoring
+
+    rng = np.random.default_rng(4)
+    count = rng.integers(1, 100, 200)
+    text = np.repeat(np.arange(200), count)
+    kept = np.bincount(text[lm_scoring.one_in(text, 16)], minlength=200)
+    assert (kept >= 1).all() and (kept >= count // 16).all() and (kept <= -(-count // 16)).all()
+    assert lm_scoring.one_in(np.zeros(0, np.int64), 16).tolist() == []
+
+
+def test_forward_pass_against_a_plain_one():
+    """Every target's probability, token by token, from the weights alone."""
+    rng = np.random.default_rng(6)
+    tokens = [b" a", b"b", b" c", b"dd", b" e", b"f", b" gg", b"h", b" i", b"<end>"]
+    counts = np.array([50, 40, 30, 20, 10, 9, 8, 7, 6, 5])
+    model = attention.AttentionLM(counts, tokens, 9, seed=3)
+    for name, value in model.dense.items():
+        model.dense[name] = (value + rng.normal(0, 0.05, value.shape)).astype(np.float32)
+    ids = rng.integers(0, 9, 60).astype(np.int32)
+    x, y, valid, begin, _ = attention.windows(ids, np.array([0, 60]), 9)
+    got = model.log_probs(x, y, valid, begin)
+    p, at = {n: v.astype(float) for n, v in model.dense.items()}, 0
+    for w in range(len(x)):
+        e = model.embed[x[w]].astype(float)
+        q, k, v = (e @ p["qkv"]).reshape(-1, 3, attention.HEADS, attention.HEAD).transpose(1, 2, 0, 3)
+        for i in range(begin[w], valid[w]):
+            seen = []
+            for h in range(attention.HEADS):
+                scores = np.array([q[h, i] @ k[h, j] / attention.HEAD**0.5 + p["near"][h, i - j] for j in range(i + 1)])
+                weight = np.exp(scores) / np.exp(scores).sum()
+                seen.append(weight @ v[h, : i + 1])
+            first = np.append(e[i] + np.concatenate(seen) @ p["back"], 1)
+            last = np.append(first[:-1] + np.maximum(first @ p["up"], 0) @ p["down"], 1)
+            by_class = last @ p["out"]
+            kinds = by_class - np.log(np.exp(by_class).sum())
+            chances = np.zeros(10)
+            for t in range(10):
+                inner = last @ p["inner"][model.kind[t]] if model.kind[t] < model.full else None
+                chances[t] = kinds[model.kind[t]] + (model.within[t] if inner is None else inner[model.member[t]] - np.log(np.exp(inner).sum()))
+            assert np.exp(chances).sum() <= 1 + 1e-6
+            assert got[at] == pytest.approx(chances[y[w, i]], abs=2e-3)
+            at += 1
+    assert at == len(got) == 61
