@@ -75,3 +75,28 @@ def test_entry_imports_without_the_optional_part(tmp_path):
     code = "import __spark_entry__ as e; assert 'monthly_metrics' in e.queries() and 'pipeline' not in e.queries() and not any(q.startswith('op') for q in e.queries())"
     blocked = f"import sys; sys.modules['corpus_pipeline'] = None; {code}"
     subprocess.run([sys.executable, "-c", blocked], cwd=tmp_path, check=True)
+
+
+def test_stages_on_odd_rows(spark):
+    """Missing values, repeated rows, very long texts and columns of clashing names go through every stage, and no rows at all."""
+    from . import odd
+
+    more = [(500 + i, " ".join(f"own{i}w{k}" for k in range(80)), None, None if i % 2 else "s1", i, True, "c", "s", "b", "k", "z", "h", "t", "l") for i in range(6)]
+    given = odd.frame(spark, [*odd.rows(), *more, more[0], (None, *more[1][1:])])
+    for docs in (given, given.limit(0)):
+        before = docs.collect()
+        for name, stage in corpus_pipeline.STAGES:
+            schema, docs = docs.schema, cut_lineage(stage(spark, docs, SF), "odd-stage")
+            rows, left = docs.collect(), Counter(map(tuple, before))
+            if name == "token ids":
+                assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in before)
+                continue
+            assert docs.schema == schema
+            most = 2 if name == "mixing" else 1
+            assert all(n <= most * left[r] for r, n in Counter(map(tuple, rows)).items()), name
+            if name == "quality rules":
+                assert all(len(words(r.text)) >= 50 for r in rows)
+            if name == "near-dedup":
+                assert len({r.text for r in rows}) == len(rows) and {r.text for r in before} >= {r.text for r in rows}
+            before = rows
+        assert len(before) > 5 or docs.count() == 0
