@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), docs being what the stage before it left, and returns a DataFrame; all but
 the last return the columns of documents, so rows that a stage rejects are gone and the mix repeats the
 rows that it takes twice. ``run`` writes each stage's result to the shared folder and reads it again.
+
+Results: a missing or empty text fails the base rules of quality; of rows that repeat text and id one stays in near-dedup;
+rows without an id are documents like others, their records come first in the token files; a missing source is a
+source of its own. Extra columns stay as they are up to the mix. No documents give no rows in every stage.
 """
 
 from __future__ import annotations
