@@ -217,7 +217,7 @@ class ItemBlock:
             yield n, start[fits], end[fits]
 
     def matches(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, first word, words, distance) of all matches, the best one of each region."""
+        """(text, item, first word, words, distance) of all matches: of each region the best part, and others beside it."""
         regions, left = defaultdict(list), list(self.screened(hashes, first))
         edge = np.zeros(len(hashes) + 1, np.int64)
         pair = ngrams(hashes, 2) if self.exact else None
@@ -250,11 +250,23 @@ class ItemBlock:
             cut = np.flatnonzero((np.diff(starts) > n) | (np.diff(text) > 0)) + 1
             for part, own in zip(np.split(starts, cut), np.split(text, cut), strict=True):
                 low, high = max(int(part[0]) - k, int(first[own[0]])), min(int(part[-1]) + n + k, int(first[own[0] + 1]))
-                distance, at, length = edit_match(self.items[item], hashes[low:high])
-                if distance <= k:
-                    out.append((int(own[0]), item, low + at - int(first[own[0]]), length, distance))
+                out += [(int(own[0]), item, at - int(first[own[0]]), length, distance) for at, length, distance in self._parts(item, k, hashes, low, high)]
         return sorted(out)
 
+    def _parts(self, item: int, k: int, hashes: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """(first word, words, distance) of the best part of a stretch within k edits of the item, then of what is left of it
+        and right of it."""
+        rest = [(low, high)]
+        while rest:
+            low, high = rest.pop()
+            if high - low < max(len(self.items[item]) - k, 1):
+                continue
+            distance, at, length = edit_match(self.items[item], hashes[low:high])
+            if distance <= k:
+                yield low + at, length, distance
+                if length:
+                    rest += [(low, low + at), (low + at + length, high)]
+
 
 def item_blocks(benchmark: DataFrame, rate: float = RATE, recall: float = RECALL, block_words: int = BLOCK_WORDS) -> Iterator[ItemBlock]:
     """The benchmark in blocks; one block at a time is on the driver."""

@@ -211,6 +211,17 @@ def test_leaks(spark, docs, none):
     assert decontamination.drop_leaks(docs, items.limit(0)).count() == docs.count()
 
 
+def test_copies_back_to_back_are_parts_each(spark):
+    item = [f"p{i}" for i in range(40)]
+    changed = ["other" if i in (3, 20) else w for i, w in enumerate(item)]
+    texts = [item * 3, [*item, "between", *changed, *item], ["x"] * 30 + item + ["y"] * 30, item[:38] * 2]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = decontamination.leaks(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    got = sorted((r.doc_id, r.first_word, r.distance) for r in found.collect())
+    assert [g for g in got if g[0] < 3] == [(0, 0, 0), (0, 40, 0), (0, 80, 0), (1, 0, 0), (1, 41, 2), (1, 81, 0), (2, 30, 0)]
+    assert [g[2] <= 2 for g in got if g[0] == 3] == [True, True]
+
+
 def test_token_files(spark, docs, none):
     from tokenizers import Tokenizer
 
