@@ -138,3 +138,19 @@ def test_graph_of_classes(frame):
 def test_no_contributions(frame):
     empty = frame(SCHEMA, [])
     assert co.contributor_graph(empty).collect() == [] and co.shared_contributor_pairs(empty).collect() == []
+
+
+def test_a_class_moves_as_lists(frame):
+    """What is shuffled for a class is its lists, not a row for each pair; every ordered pair of blocks is one row."""
+    data = contributions()
+    known = co.known_contributions(frame(SCHEMA, data))
+    lists = co.class_lists(known, co.login_classes(known), 2000)
+    assert lists.filter("class = 'bot'").select(F.size("xs"), F.size("ys")).collect() == [(40, 40)]
+    assert lists.count() == lists.select("class").distinct().count()
+    assert co.class_lists(known, co.login_classes(known), 7).filter("class = 'bot'").count() == 36
+
+
+def test_repositories_without_a_name_make_no_pair(frame):
+    data = [(r, "bot", "2016-01-01") for r in ("o/a", "o/b", "o/c", None)]
+    for block in (2000, 1):
+        assert rows(co.shared_contributor_pairs(frame(SCHEMA, data), block)) == [("o/a", "o/b", "bot"), ("o/a", "o/c", "bot"), ("o/b", "o/c", "bot")]
