@@ -114,3 +114,9 @@ def test_cooccurrence(frame):
 def test_recency_frequency(frame):
     words = ranking.post_words(tagged(frame, [(T(2016, 1, 1), ["a"]), (T(2016, 1, 5), ["a", "b"])]))
     assert rows(keywords.recency_frequency(words)) == [("s", "a", T(2016, 1, 5), 2), ("s", "b", T(2016, 1, 5), 1)]
+
+
+def test_counts_meet_their_frequencies_unsorted(frame):
+    docs = frame("source string, doc_id long, title string, content string", [("a", i, "x", "apple pear") for i in range(3)])
+    plan = keywords.tfidf_plain(docs, posts_job.post_terms(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
