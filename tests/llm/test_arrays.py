@@ -343,6 +343,13 @@ def test_every_text_has_a_window_to_learn():
     assert lm_scoring.one_in(np.zeros(0, np.int64), 16).tolist() == []
 
 
+def test_every_window_of_every_text_is_learned():
+    from repopulse.llm import lm_scoring
+
+    text = np.repeat(np.arange(200), np.random.default_rng(4).integers(1, 100, 200))
+    assert lm_scoring.one_in(text, lm_scoring.ONE_IN).all()
+
+
 def test_forward_pass_against_a_plain_one():
     """Every target's probability, token by token, from the weights alone."""
     rng = np.random.default_rng(6)
