@@ -64,19 +64,28 @@ def created_time(text: Column) -> Column:
     return F.try_to_timestamp(seconds, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
 
 
+def timed(raw: DataFrame) -> DataFrame:
+    """The archive with the time of each row, read once, as ``_time``.
+
+    Exploding a one-element list pins it as a column; as a plain expression it would be copied into every later filter
+    and condition and read again in each.
+    """
+    return raw.select("*", F.explode_outer(F.array(created_time(F.col("created")))).alias("_time"))
+
+
 def classify_events(raw: DataFrame) -> DataFrame:
     """One pass over the archive: every row with its ``outcome`` and its parsed columns.
 
     ``outcome`` is ``timeline``, ``new_repo``, ``skipped`` (not wanted) or ``rejected`` (broken,
     with ``reason``). The expression is stateless, so it serves batches and streams alike.
+    Rows that are ``timed`` already keep their ``_time``.
     """
-    # Exploding a one-element list pins the parsed payload as a column; as a plain expression it
-    # would be copied into every later filter and condition and parsed again in each.
+    # the parsed payload is pinned like the time
     parsed = F.from_json("payload", schemas.PAYLOAD, {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = raw.select("*", F.split(F.col("repo_name"), "/").alias("_parts"),
-                      F.explode_outer(F.array(parsed)).alias("_json"))
-    event, body = F.col("type"), F.col("_json")
-    created = created_time(F.col("created"))
+    own_time = [] if "_time" in raw.columns else ["_time"]
+    rows = (timed(raw) if own_time else raw).select("*", F.split(F.col("repo_name"), "/").alias("_parts"),
+                                                    F.explode_outer(F.array(parsed)).alias("_json"))
+    event, body, created = F.col("type"), F.col("_json"), F.col("_time")
     is_pull, is_issue = event == "PullRequestEvent", event == "IssuesEvent"
     is_comment, is_create = event == "CommitCommentEvent", event == "CreateEvent"
     action = canonical_action(event, body["action"])
@@ -120,7 +129,7 @@ def classify_events(raw: DataFrame) -> DataFrame:
         _iso_time(subject_created).alias("event_created_at"),
         F.when(action == "closed", _iso_time(subject_closed)).alias("event_closed_at"),
         user_type(F.col("org_id"), F.col("org_login")).alias("user_type"),
-    ).drop("_parts", "_json")
+    ).drop("_parts", "_json", *own_time)
 
 
 def timeline_events(classified: DataFrame) -> DataFrame:

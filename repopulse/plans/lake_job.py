@@ -36,7 +36,11 @@ def content_key(columns: list[str]) -> Column:
 
 def lane(created: Column) -> Column:
     """The day of a row as text, or the lane of the rows whose time can't be read."""
-    return F.coalesce(F.date_format(ev.created_time(created), "yyyy-MM-dd"), F.lit(UNDATED))
+    return _lane(ev.created_time(created))
+
+
+def _lane(time: Column) -> Column:
+    return F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(UNDATED))
 
 
 def committed(spark: SparkSession, lake: str, first_run: dt.date) -> tuple[int, dt.date]:
@@ -64,19 +68,19 @@ def read_repositories(spark: SparkSession, lake: str) -> DataFrame:
 def unseen_rows(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows of ``rows`` beyond the copies that ``seen`` has of the same (lane, key).
 
-    Equal rows are one group with a count, combined before they are shuffled; the copies that are new are made
-    again in steps that are dealt out, so a row that is delivered very often is no task's load.
+    ``rows`` are written and have a different number ``_id`` each. Equal rows are one key with a count, combined before
+    they are shuffled; only keys, counts and numbers move, and whole rows just of the keys that have new copies, one row
+    each, met by its number. The copies are made again in steps that are dealt out, so a row that is delivered very often
+    is no task's load.
     """
-    at = ["lane", "key"]
-    rest = [c for c in rows.columns if c not in at]
-    grouped = rows.groupBy(*at).agg(F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    at, columns = ["lane", "key"], [c for c in rows.columns if c != "_id"]
+    grouped = rows.groupBy(*at).agg(F.count("*").alias("_n"), F.min("_id").alias("_id"))
     counted = seen.groupBy(*at).agg(F.count("*").alias("_seen"))
     left = (grouped.join(counted, at, "left").withColumn("_n", F.col("_n") - F.coalesce("_seen", F.lit(0)))
-            .filter(F.col("_n") > 0))
-    steps = left.select(*at, "_row", "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_ROW))).alias("_step"))
+            .filter(F.col("_n") > 0).select("_id", "_n"))
+    steps = rows.join(left, "_id").select(*columns, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_ROW))).alias("_step"))
     copies = F.least(F.lit(COPIES_PER_ROW), F.col("_n") - F.col("_step") * COPIES_PER_ROW).cast("int")
-    return (steps.hint("rebalance").select(*at, "_row", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
-            .select("_row.*", *at).select(*rows.columns))
+    return steps.hint("rebalance").select(*columns, F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")
 
 
 def load_days(raw: DataFrame, lake: str, as_of: dt.date, first_run: dt.date) -> dt.date:
@@ -91,15 +95,17 @@ def load_days(raw: DataFrame, lake: str, as_of: dt.date, first_run: dt.date) ->
     spark, columns = raw.sparkSession, raw.columns
     number, last = committed(spark, lake, first_run)
     load, newest = number + 1, max(last, as_of - dt.timedelta(days=1))
-    day = lane(F.col("created"))
-    wanted = (day == UNDATED) | ((day > first_run.isoformat()) & (day <= newest.isoformat()))
-    late = (F.col("lane") == UNDATED) | (F.col("lane") <= last.isoformat())
-    classified = ev.classify_events(raw.filter(wanted)).withColumns({"lane": day, "key": content_key(columns)}).withColumn("late", late)
+    day = F.to_date("_time")
+    wanted = day.isNull() | ((day > F.lit(first_run)) & (day <= F.lit(newest)))
+    classified = ev.classify_events(ev.timed(raw).filter(wanted)).withColumns({
+        "lane": _lane(F.col("_time")), "key": content_key(columns), "late": day.isNull() | (day <= F.lit(last)),
+        "_id": F.monotonically_increasing_id()}).drop("_time")
     path = shared_path(spark, "classified")
     classified.write.partitionBy("late", "outcome").parquet(path)
-    given = spark.read.schema(classified.schema).parquet(path)
+    numbered = spark.read.schema(classified.schema).parquet(path)
+    given = numbered.drop("_id")
 
-    again = given.filter("late")
+    again = numbered.filter("late")
     lanes = [r.lane for r in again.select("lane").distinct().collect()]  # days of the calendar
     seen = files.read_partitioned(spark, f"{lake}/landed", "key binary, load int, lane string").filter(
         (F.col("load") <= number) & F.col("lane").isin(lanes))

@@ -72,3 +72,11 @@ def test_slices_and_days(frame):
         ev.day_slices(df, "ts", 5)
     days = frame("ts timestamp_ntz", [(T(2016, 1, d),) for d in (1, 2, 3, 4)])
     assert rows(ev.days_to_load(days, "ts", dt.date(2016, 1, 1), dt.date(2016, 1, 4))) == [(T(2016, 1, 2),), (T(2016, 1, 3),)]
+
+
+def test_the_time_of_a_row_is_read_once(frame):
+    raw = frame(schemas.ARCHIVE, [event("WatchEvent", "{}")]).withColumn("created", F.concat("created", F.lit("")))
+    for classified in (ev.classify_events(raw), ev.classify_events(ev.timed(raw).filter("_time > '2000-01-01' OR _time IS NULL"))):
+        used = classified.select("outcome", "reason", "created_at", *[c for c in classified.columns if c == "_time"])
+        assert used._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp(CASE WHEN") == 1
+        assert [r.outcome for r in used.collect()] == ["timeline"]

@@ -114,6 +114,16 @@ def test_content_keys_tell_rows_apart(frame):
     assert df.select(lake_job.content_key(["a", "b"])).distinct().count() == 6
 
 
+def test_only_keys_move_to_tell_which_rows_are_new(frame, spark, tmp_path):
+    given = [("a", b"1", "x", 1), ("a", b"1", "x", 2), ("a", b"1", "x", 3), ("a", b"2", "y", 4), ("b", b"1", "z", 5), ("b", None, "w", 6)]
+    frame("lane string, key binary, payload string, _id long", given).write.parquet(str(tmp_path / "rows"))
+    seen = frame("lane string, key binary", [("a", b"1"), ("a", b"2"), ("b", b"2"), ("b", None)])
+    new = lake_job.unseen_rows(spark.read.parquet(str(tmp_path / "rows")), seen)
+    assert new.columns == ["lane", "key", "payload"]
+    assert rows(new) == rows(frame("lane string, key binary, payload string", [("a", b"1", "x")] * 2 + [("b", b"1", "z"), ("b", None, "w")]))
+    assert "SortAggregate" not in new._jdf.queryExecution().executedPlan().toString()  # of whole rows
+
+
 @pytest.fixture
 def spool(spark, tmp_path):
     class Spool:
