@@ -45,6 +45,18 @@ def test_splitting_a_hot_repository_changes_nothing(timeline, repo):
     assert rows(metrics.join_repository(timeline, repo)) == rows(metrics.join_repository(timeline, repo, rows_per_split=50))
 
 
+def test_months_shuffle_once_without_a_hot_repository(timeline, repo):
+    monthly = metrics.monthly_metrics(timeline, F.broadcast(repo))
+    assert monthly._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_repositories_sort_by_name_once(frame):
+    monthly = frame("repo_owner string, repo_name string, user_type string, month long, repo_index string, repo_created_at timestamp_ntz, "
+                    + ", ".join(f"{m} {'double' if m in metrics.MEAN_METRICS else 'long'}" for m in metrics.METRICS), [])
+    plan = metrics.cumulative_metrics(metrics.project_month_metrics(monthly))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- Sort [repo_name") == plan.count("+- Sort [") == 1
+
+
 def test_monthly_counts_against_plain_python(timeline, repo):
     created = {r.repository_name: r.repo_created_at for r in repo.collect()}
     want = {}
