@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from repopulse.functions import text as tx
-from repopulse.operators import keywords, ranking
+from repopulse.operators import keywords, ranking, skew
 from repopulse.plans import posts_job
 
 T = dt.datetime
@@ -120,3 +120,19 @@ def test_counts_meet_their_frequencies_unsorted(frame):
     docs = frame("source string, doc_id long, title string, content string", [("a", i, "x", "apple pear") for i in range(3)])
     plan = keywords.tfidf_plain(docs, posts_job.post_terms(docs))._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_the_list_of_frequent_terms_is_not_grouped_again(frame):
+    df = frame("k string, _n long", [("a", 7), ("b", 5), ("c", 6)])
+    hot = skew.hottest(df, ["k"], 5)
+    assert sorted((r.k, r._splits) for r in hot.collect()) == [("a", 2), ("c", 2)]
+    assert "hashpartitioning" not in hot._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marks_at_the_ends_of_a_text(frame):
+    texts = ["-_a-_", "_-a_-", "--a", "a__", "-", "_", "a-b_c", "", "x_\u0085", "x-\u2028", "_", "a b"]
+    plain = F.col("text")
+    for edge in ("^-", "^_", "-$", "_$"):
+        plain = F.regexp_replace(plain, edge, "")
+    got = frame("text string", [(t,) for t in texts]).select(tx._without_edges(F.col("text")).alias("a"), plain.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and got[0].a == "a-"
